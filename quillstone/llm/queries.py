@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import media, mixing
 
-MODULES = (mixing,)
+MODULES = (mixing, media)
 
 
 def queries() -> dict:
