@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import media, mixing
+from . import langid, media, mixing
 
-MODULES = (mixing, media)
+MODULES = (mixing, media, langid)
 
 
 def queries() -> dict:
