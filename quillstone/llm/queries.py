@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import langid, media, mixing
+from . import bpe, langid, media, mixing
 
-MODULES = (mixing, media, langid)
+MODULES = (mixing, media, langid, bpe)
 
 
 def queries() -> dict:
