@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, media, mixing
+from . import bpe, langid, media, mixing, simhash
 
-MODULES = (mixing, media, langid, bpe)
+MODULES = (mixing, media, langid, bpe, simhash)
 
 
 def queries() -> dict:
