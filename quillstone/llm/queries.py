@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, langid, media, mixing, simhash
+from . import bpe, fingerprints, html, langid, media, mixing, simhash
 
-MODULES = (mixing, media, langid, bpe, simhash, fingerprints)
+MODULES = (mixing, media, langid, bpe, simhash, fingerprints, html)
 
 
 def queries() -> dict:
