@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, html, langid, media, mixing, simhash
+from . import bpe, chat, fingerprints, html, langid, media, mixing, simhash
 
-MODULES = (mixing, media, langid, bpe, simhash, fingerprints, html)
+MODULES = (mixing, media, langid, bpe, simhash, fingerprints, html, chat)
 
 
 def queries() -> dict:
