@@ -122,7 +122,7 @@ class WordBpe:
         """Ids of each word; new pre-tokens of all words are merged together."""
         findall = self._split.findall
         split = [[w] if w.isalpha() else findall(w) for w in words]  # letters only: one pre-token
-        new = list({p for pieces in split for p in pieces} - self._pieces.keys())
+        new = [p for p in {p for pieces in split for p in pieces} if p not in self._pieces]
         if len(self._pieces) + len(new) > CACHE_PIECES:
             self._pieces.clear()
             new = list({p for pieces in split for p in pieces})

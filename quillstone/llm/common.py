@@ -5,8 +5,9 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word of the corpus contracts: a run of anything but ASCII white space.
@@ -50,3 +51,8 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once a row, however often body uses it, also inside lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, fingerprints, html, langid, media, mixing, simhash, tokencount
+from . import bpe, chat, fingerprints, html, langid, licenses, media, mixing, simhash, tokencount
 
-MODULES = (mixing, media, langid, bpe, simhash, fingerprints, html, chat, tokencount)
+MODULES = (mixing, media, langid, bpe, simhash, fingerprints, html, chat, tokencount, licenses)
 
 
 def queries() -> dict:
