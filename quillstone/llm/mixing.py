@@ -51,7 +51,8 @@ def source_plan(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: flo
     """source, source_size, target, epochs, cut_bin, cut_key of each source of sized (source, size, mix_key); and their number.
 
     Water filling: a target is min(max_epochs * source_size, level * weight), where level is such that targets add up
-    to share of all sizes. Documents in bins before cut_bin, and with keys up to cut_key, are taken once more than epochs
+    to share of all sizes: with the sources in the order of cap / weight and the first j at their caps it is what is left over the weights left,
+    and the greatest such level that lets source j stay under its cap is the one. Documents in bins before cut_bin, and with keys up to cut_key, are taken once more than epochs
     (nulls: none is).
     """
     by_bin = cut(
@@ -67,7 +68,7 @@ def source_plan(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: flo
     everything = Window.partitionBy()
     level = (F.sum("source_size").over(everything) * F.lit(share) - F.coalesce(F.sum("cap").over(by_ratio.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) / F.sum("weight").over(by_ratio.rowsBetween(0, Window.unboundedFollowing))
     levelled = capped.withColumn("level", level)
-    levelled = levelled.withColumn("level", F.min(F.when(F.col("level") <= F.col("cap") / F.col("weight"), F.col("level"))).over(everything))
+    levelled = levelled.withColumn("level", F.max(F.when(F.col("level") <= F.col("cap") / F.col("weight"), F.col("level"))).over(everything))
     target = F.coalesce(F.least(F.col("cap").cast("double"), F.col("level") * F.col("weight")), F.col("cap").cast("double"))
     plan = levelled.withColumn("target", target).withColumn("epochs", F.when(F.col("source_size") > 0, F.least(F.lit(max_epochs), F.floor(F.col("target") / F.col("source_size")))).otherwise(F.lit(0)).cast("long"))
     plan = cut(plan.select("source", "source_size", "target", "epochs", (F.col("target") - F.col("epochs") * F.col("source_size")).alias("left")))
@@ -143,7 +144,7 @@ capped AS (
 levels AS (
   SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap::DOUBLE / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
     / (sum(weight) OVER (ORDER BY cap::DOUBLE / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level FROM capped),
-level AS (SELECT min(level) AS level FROM levels WHERE level <= cap::DOUBLE / weight),
+level AS (SELECT max(level) AS level FROM levels WHERE level <= cap::DOUBLE / weight),
 plan AS (
   SELECT source, source_size, coalesce(least(cap::DOUBLE, l.level * weight), cap::DOUBLE) AS target FROM capped CROSS JOIN level l),
 parts AS (
