@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import free_name, table
 
 DIMENSIONS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -223,27 +223,29 @@ def fit(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:
 
 
 def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
-    """The columns keep of docs, then lang_pred and score of each row's text."""
+    """The columns keep of docs, then lang_pred and score of each row's text; only the text goes to Python."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = [*[f for f in docs.schema.fields if f.name in keep]]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [t if isinstance(t, str) else None for t in batch["lid_text"]]
-            out = batch.drop(columns="lid_text")
-            out["lang_pred"], out["score"] = sent.value.predict(texts)
-            yield out
+    @F.pandas_udf("lang_pred string, score double")
+    def predicted(texts: pd.Series) -> pd.DataFrame:
+        names, scores = sent.value.predict([t if isinstance(t, str) else None for t in texts])
+        return pd.DataFrame({"lang_pred": names, "score": scores})
 
-    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    return docs.select(*[f.name for f in schema], F.col("text").alias("lid_text")).mapInPandas(run, f"{names}, lang_pred string, score double")
+    name = free_name(docs, "lid")
+    columns = [F.col(f"`{c}`") for c in keep]
+    return docs.select(*columns, predicted(F.col("text")).alias(name)).select(*columns, F.col(name)["lang_pred"].alias("lang_pred"), F.col(name)["score"].alias("score"))
 
 
 def reject(docs: DataFrame, min_score: float = 0.0, per_lang: int = SAMPLE_PER_LANG) -> DataFrame:
     """The rows of docs, with its columns, whose text has letters and is a learned language by min_score at least."""
-    model = fit(docs, per_lang)
-    found = predict(docs, model, *docs.columns)
-    kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= min_score))
-    return kept.select(*docs.columns)
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, per_lang))
+
+    @F.pandas_udf("boolean")
+    def known(texts: pd.Series) -> pd.Series:
+        names, scores = sent.value.predict([t if isinstance(t, str) else None for t in texts])
+        return pd.Series(np.array([n != "und" for n in names], bool) & (scores >= min_score))
+
+    return docs.where(known(F.col("text")))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
