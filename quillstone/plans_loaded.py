@@ -1,6 +1,6 @@
 """All operator modules, loaded, and what they have registered."""
 
-from quillstone.operators import peers  # noqa: F401
+from quillstone.operators import gold, history, peers  # noqa: F401
 from quillstone.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
