@@ -1,0 +1 @@
+"""Column functions of the price-file semantics: amounts, codes, items, text normalisation."""
