@@ -4,8 +4,8 @@ Two fingerprints within RADIUS bits share a variant within RADIUS / 2 bits of bo
 stands for all its variants of up to RADIUS / 2 flipped bits (2,081 of 64 bits), and fingerprints that share a variant
 are linked. The shuffle goes by the variants' leading bits: a fingerprint is sent once to each cell (a value of those
 bits) that any of its variants falls in, with the flips left for the other bits, and the cell's task makes and sorts the
-variants there. Cells with many fingerprints are dealt further by PARITY parity bits of the variant, so that a
-hot group's variants spread over many tasks, each variant in exactly one.
+variants there. Cells of many variants are dealt further by parity bits of the variant, as many as its
+size asks for, so that a hot group's variants spread over many tasks, each variant in exactly one.
 
 All fingerprints that share a variant lie within RADIUS of each other, and each such pair is verified by its bit
 distance as it is linked. A task returns a spanning forest of its cell's links, not the pairs: no more rows than fingerprints
@@ -18,7 +18,6 @@ get a row; a null doc_id gets its component but never names one; an empty table
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from functools import lru_cache, partial
 from itertools import combinations
 
@@ -32,8 +31,8 @@ from .common import cut, small_side, table
 
 BITS, RADIUS, SHINGLE = 64, 4, 4
 HALF = RADIUS // 2
-#: Variants that a cell should hold on average, and fingerprints from which a cell is dealt by parity bits.
-CELL_VARIANTS, HOT_CELL, PARITY = 2_000_000, 20_000, 5
+#: Variants that a cell should hold on average, those from which it is dealt by parity bits, and the most such bits.
+CELL_VARIANTS, HOT_VARIANTS, PARITY = 1_000_000, 3_000_000, 10
 SEED = 42
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -59,16 +58,13 @@ def _majority(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, *keep: str) -> DataFrame:
-    """Columns keep of docs and fp, the fingerprint of each row's text as a signed long."""
+    """Columns keep of docs and fp, the fingerprint of each row's text as a signed long; only the text goes to Python."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = batch.drop(columns="fp_text")
-            out["fp"] = np.array([fingerprint(t if isinstance(t, str) else None) for t in batch["fp_text"]], np.uint64).view(np.int64)
-            yield out
+    @F.pandas_udf("long")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t if isinstance(t, str) else None) for t in texts], np.uint64).view(np.int64))
 
-    names = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema.fields if f.name in keep)
-    return docs.select(*[f.name for f in docs.schema.fields if f.name in keep], F.col("text").alias("fp_text")).mapInPandas(run, f"{names}fp long")
+    return docs.select(*[F.col(f"`{c}`") for c in keep], of(F.col("text")).alias("fp"))
 
 
 @lru_cache(maxsize=8)
@@ -83,10 +79,10 @@ def _parity_masks() -> np.ndarray:
     return np.array([_hash(b"parity %d" % i) for i in range(PARITY)], np.uint64)
 
 
-def parities(values: np.ndarray) -> np.ndarray:
-    """The PARITY parity bits of each value, as a number; linear: parities(a ^ b) = parities(a) ^ parities(b)."""
+def parities(values: np.ndarray, bits: int) -> np.ndarray:
+    """The first parity bits of each value, as a number; linear: parities(a ^ b) = parities(a) ^ parities(b)."""
     out = np.zeros(len(values), np.int64)
-    for i, word in enumerate(_parity_masks()):
+    for i, word in enumerate(_parity_masks()[:bits]):
         out |= (np.bitwise_count(values & word).astype(np.int64) & 1) << i
     return out
 
@@ -100,11 +96,8 @@ def routes(distinct: DataFrame, prefix: int) -> DataFrame:
     return step.select(top.bitwiseXOR(F.col("r.m").cast("long")).cast("int").alias("cell"), "fp", F.col("r.budget").cast("int").alias("budget"))
 
 
-def link_cell(fp: np.ndarray, budget: np.ndarray, cell: int, prefix: int, parity: int | None) -> np.ndarray:
-    """Spanning forest (n, 2) of the fingerprints that share variants in the cell (of one parity value, if given).
-
-    Variants are made and sorted in slices by their next bits, so that memory stays bounded.
-    """
+def link_cell(fp: np.ndarray, budget: np.ndarray, cell: int, prefix: int, bits: int = 0, parity: int = 0) -> np.ndarray:
+    """Spanning forest (n, 2) of the fingerprints that share variants in the cell whose first parity bits are parity."""
     low = BITS - prefix
     suffix_mask = np.uint64((1 << low) - 1)
     values = fp.view(np.uint64)
@@ -116,24 +109,20 @@ def link_cell(fp: np.ndarray, budget: np.ndarray, cell: int, prefix: int, parity
         if not len(own):
             continue
         masks, _ = flips(low, b)
-        if parity is None:
-            made.append((suffix[own, None] ^ masks[None]).ravel())
-            owners.append(np.repeat(own, len(masks)))
-            continue
         # variant = top | (suffix ^ mask); its parities are known from those of its parts
-        have = parities(top | suffix[own])
-        of_mask = parities(masks)
+        have = parities(top | suffix[own], bits)
+        of_mask = parities(masks, bits)
         for p in np.unique(have):
             some, chosen = own[have == p], masks[of_mask == (p ^ parity)]
             made.append((suffix[some, None] ^ chosen[None]).ravel())
-            owners.append(np.repeat(some, len(chosen)))
+            owners.append(np.repeat(some.astype(np.int32), len(chosen)))
     if not made:
         return np.zeros((0, 2), np.int64)
     variants, owner = np.concatenate(made), np.concatenate(owners)
     order = np.argsort(variants, kind="quicksort")
     variants, owner = variants[order], owner[order]
     same = np.flatnonzero(variants[1:] == variants[:-1])
-    a, b = owner[same], owner[same + 1]
+    a, b = owner[same].astype(np.int64), owner[same + 1].astype(np.int64)
     links = np.unique((np.minimum(a, b) << 32) | np.maximum(a, b))
     a, b = links >> 32, links & 0xFFFFFFFF
     if not (np.bitwise_count(values[a] ^ values[b]) <= RADIUS).all():
@@ -165,17 +154,17 @@ def links(distinct: DataFrame, n: int) -> DataFrame:
     while n * 2081 / (1 << prefix) > CELL_VARIANTS and prefix < 24:
         prefix += 1
     sent = routes(distinct, prefix)
-    hot = sent.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > HOT_CELL).select("cell", F.lit(1 << PARITY).alias("deal"))
-    hot = cut(hot)
-    sent = sent.join(small_side(hot, hot.count(), 16), "cell", "left")
-    sent = sent.withColumn("part", F.explode(F.when(F.col("deal").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("deal") - 1))))
+    variants = F.sum(F.element_at(F.array(*[F.lit(len(flips(BITS - prefix, k)[0])) for k in range(HALF + 1)]), F.col("budget") + 1))
+    bits = F.least(F.lit(PARITY), F.ceil(F.log2(F.col("n") / F.lit(CELL_VARIANTS)))).cast("int")
+    hot = cut(sent.groupBy("cell").agg(variants.alias("n")).where(F.col("n") > HOT_VARIANTS).select("cell", bits.alias("bits")))
+    sent = sent.join(small_side(hot, hot.count(), 16), "cell", "left").withColumn("bits", F.coalesce("bits", F.lit(0)))
+    sent = sent.withColumn("parity", F.explode(F.sequence(F.lit(0), F.expr("shiftleft(1, bits) - 1"))))
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        cell, part = int(key[0]), int(key[1])
-        found = link_cell(rows["fp"].to_numpy(), rows["budget"].to_numpy(), cell, prefix, None if part < 0 else part)
+        found = link_cell(rows["fp"].to_numpy(), rows["budget"].to_numpy(), int(key[0]), prefix, int(key[1]), int(key[2]))
         return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
 
-    return sent.select("cell", "part", "fp", "budget").groupBy("cell", "part").applyInPandas(run, "a long, b long").distinct()
+    return sent.select("cell", "bits", "parity", "fp", "budget").groupBy("cell", "bits", "parity").applyInPandas(run, "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
