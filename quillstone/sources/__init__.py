@@ -1,0 +1 @@
+"""Sources and sinks: price files, reference files and the versioned snapshot table."""

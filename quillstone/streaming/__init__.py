@@ -1,0 +1 @@
+"""Structured Streaming: file-changed events that start a reprocessing."""
