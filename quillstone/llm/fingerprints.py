@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, small_side, table
+from .common import cut, let, small_side, table
 
 SUM_LANES, BIT_LANES, BIT_BITS, SHINGLE = 4, 64, 16, 3
 #: Documents of one span of doc_id, on average, and the most spans.
@@ -44,11 +44,16 @@ def _trigrams(words: Column) -> Column:
 
 def _pieces(text: Column) -> Column:
     """Trigram hashes of all paragraphs of text, paragraph by paragraph."""
-    return F.flatten(F.transform(paragraphs(text), lambda p: _trigrams(F.split(p, " "))))
+    words = F.transform(paragraphs(text), lambda p: F.split(p, " "))
+    return F.flatten(F.transform(words, _trigrams))
 
 
 def _wrap_sum(hashes: Column) -> Column:
     """Sum of an array of longs modulo 2**64: the halves are added without overflow, then joined."""
+    return let(hashes, _wrap_sum_of)
+
+
+def _wrap_sum_of(hashes: Column) -> Column:
     low = F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a + h.bitwiseAND(F.lit(0xFFFFFFFF)))
     high = F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a + F.shiftrightunsigned(h, 32))
     high = (high + F.shiftrightunsigned(low, 32)).bitwiseAND(F.lit(0xFFFFFFFF))
