@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, small_side, table
+from .common import WORD, cut, free_name, let, small_side, table
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -91,11 +91,11 @@ def source_plan(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: flo
     return cut(out.select(F.col("p.source").alias("source"), "source_size", "target", "epochs", "cut_bin", "cut_key")), n
 
 
-def times_of(bins: int = BINS) -> Column:
-    """How often a document with mix_key is taken, beside the columns of its source's plan."""
-    own = F.floor((F.lit(1.0) - F.exp(-F.col("mix_key"))) * F.lit(bins)).cast("int")
-    extra = (own < F.col("cut_bin")) | (F.col("mix_key") <= F.col("cut_key"))
-    return F.col("epochs") + F.when(F.coalesce(extra, F.lit(False)), 1).otherwise(0)
+def times_of(key: Column, plan: Column, bins: int = BINS) -> Column:
+    """How often a document of that key is taken by its source's plan (a struct of epochs, cut_bin, cut_key)."""
+    own = F.floor((F.lit(1.0) - F.exp(-key)) * F.lit(bins)).cast("int")
+    extra = (own < plan["cut_bin"]) | (key <= plan["cut_key"])
+    return (plan["epochs"] + F.when(F.coalesce(extra, F.lit(False)), 1).otherwise(0)).cast("long")
 
 
 def sized_documents(docs: DataFrame, seed: str = SEED) -> DataFrame:
@@ -109,21 +109,21 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0,
     sized = cut(sized_documents(docs, seed))
     plan, n = source_plan(sized, weights, share, max_epochs)
     marked = sized.join(small_side(plan, n, 256), sized["source"].eqNullSafe(plan["source"]))
-    times = F.when(F.col("size") > 0, times_of()).otherwise(F.lit(0)).cast("long")
+    times = F.when(F.col("size") > 0, times_of(F.col("mix_key"), F.struct("epochs", "cut_bin", "cut_key"))).otherwise(F.lit(0).cast("long"))
     return marked.select("doc_id", sized["source"], "size", "source_size", "target", times.alias("times"), (times * F.col("size")).alias("taken"))
 
 
 def apply_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """The rows of docs, each as often as the mix takes it (0 times: not at all), with the columns of docs."""
+    """The rows of docs, each as often as the mix takes it (0 times: not at all), with the columns of docs, whatever their names."""
     sized = cut(sized_documents(docs, seed))
     plan, n = source_plan(sized, weights, share, max_epochs)
-    size = size_of(F.col("d.text"))
-    keyed = docs.alias("d").join(small_side(plan, n, 256).alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")))
-    keyed = keyed.withColumn("mix_size", size)
-    keyed = keyed.withColumn("mix_key", key_of(F.col("d.doc_id"), quality_of(F.col("d.text"), F.col("mix_size")), seed))
-    keyed = keyed.where(F.col("mix_size") > 0).withColumn("mix_times", times_of()).where(F.col("mix_times") > 0)
-    copies = F.explode(F.sequence(F.lit(1), F.col("mix_times").cast("int")))
-    return keyed.select(*[F.col(f"d.`{c}`") for c in docs.columns], copies.alias("mix_copy")).drop("mix_copy")
+    of, held, copy = (free_name(docs, c) for c in ("mix_source", "mix_plan", "mix_copy"))
+    plan = plan.select(F.col("source").alias(of), F.struct("epochs", "cut_bin", "cut_key").alias(held))
+    joined = docs.join(small_side(plan, n, 256), F.col("source").eqNullSafe(F.col(of)))
+    text = F.col("text")
+    times = lambda size: F.when(size > 0, let(key_of(F.col("doc_id"), quality_of(text, size), seed), lambda key: times_of(key, F.col(held)))).otherwise(F.lit(0).cast("long"))
+    copies = F.explode(F.array_repeat(F.lit(1), let(size_of(text), times).cast("int")))
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], copies.alias(copy)).drop(copy)
 
 
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

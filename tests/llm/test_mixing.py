@@ -58,7 +58,7 @@ def test_smallest_keys_are_taken_first(spark):
 
 
 def test_stage_repeats_rows_and_keeps_columns(spark):
-    docs = documents(spark).dropDuplicates(["doc_id"]).withColumn("size", F.lit(1)).withColumn("target", F.lit("t"))
+    docs = documents(spark).dropDuplicates(["doc_id"]).withColumns({c: F.lit("clash") for c in ("size", "target", "epochs", "cut_key", "mix_plan", "mix_source", "mix_key")})
     times = {r["doc_id"]: r["times"] for r in mixing.mix(docs).collect()}
     out = mixing.apply_mix(docs)
     assert out.columns == docs.columns
