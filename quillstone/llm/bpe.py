@@ -33,9 +33,11 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import cut, table
 
 LEXICON_WORDS = 131_072
+#: Words of the lexicon occur so often at least.
+MIN_COUNT = 2
 #: Entries of a worker's word cache, of its pre-token cache and of its counters before they are emptied.
 CACHE_WORDS, CACHE_PIECES, COUNTED_WORDS = 600_000, 200_000, 300_000
 
@@ -118,6 +120,10 @@ class WordBpe:
     def encode_word(self, word: str) -> bytes:
         return b"".join([self.merge_one(p) for p in self._split.findall(word)])
 
+    def forget(self) -> None:
+        """Empty the cache of pre-tokens."""
+        self._pieces.clear()
+
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word; new pre-tokens of all words are merged together."""
         findall = self._split.findall
@@ -407,18 +413,35 @@ def word_counts(docs: DataFrame, path: str) -> DataFrame:
                     if len(seen) > COUNTED_WORDS:
                         yield emit()
                         seen.clear()
-        yield emit()
+        if seen:
+            yield emit()
 
     return docs.select("text").mapInPandas(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(docs: DataFrame, path: str, most: int) -> list[str]:
+    """Words of at least MIN_COUNT occurrences down to the count at which there would be more than most, by sixteenths of an octave.
+
+    The driver gets one row a count bin, then at most `most` words.
+    """
+    counts = cut(word_counts(docs, path).where(F.col("n") >= MIN_COUNT).withColumn("bin", F.floor(F.log2("n") * 16).cast("int")))
+    least, total = None, 0
+    for r in sorted(counts.groupBy("bin").agg(F.count("*").alias("words")).collect(), key=lambda r: -r["bin"]):
+        total += r["words"]
+        if total > most:
+            break
+        least = r["bin"]
+    return [] if least is None else [r["word"] for r in counts.where(F.col("bin") >= least).select("word").collect()]
+
+
 def build_lexicon(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> str:
     """Compile the most frequent words of docs into a file that Spark hands to the executors; its name there."""
-    top = word_counts(docs, path).orderBy(F.desc("n"), "word").limit(words).select("word").toPandas()["word"]
+    top = frequent_words(docs, path, words)
     bpe = tokenizer(path)
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     place = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="lexicon-")), name)
-    Lexicon.write(place, dict(zip(top, bpe.encode_words(list(top)))))
+    Lexicon.write(place, dict(zip(top, bpe.encode_words(top))))
+    bpe.forget()
     atexit.register(lambda: os.path.exists(place) and os.remove(place))
     docs.sparkSession.sparkContext.addFile(place)
     return name
