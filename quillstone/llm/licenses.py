@@ -71,12 +71,17 @@ def scan(docs: DataFrame, templates: Mapping[str, str] | None = None, threshold:
     least, most = min(len(g) for _, g in known) / factor, max(len(g) for _, g in known) * factor
 
     units = docs.where(F.col("text").isNotNull()).select("doc_id", F.explode(units_of(F.col("text"))).alias("unit"))
-    worded = units.select("doc_id", words_of(F.col("unit")).alias("words")).where(F.size("words") - 1 >= least)
-    sized = worded.select("doc_id", let(F.col("words"), bigrams_of).alias("grams")).where(F.size("grams").between(least, most))
     dice = lambda grams, t: F.lit(2.0) * F.size(F.array_intersect(grams, t["grams"])) / (F.size(grams) + t["n"])
     candidates = lambda grams: F.filter(literal, lambda t: (t["n"] <= F.size(grams) * factor) & (F.size(grams) <= t["n"] * factor))
     compared = lambda grams: F.transform(candidates(grams), lambda t: F.struct(t["name"].alias("name"), dice(grams, t).alias("dice")))
-    scored = sized.select("doc_id", F.explode(let(F.col("grams"), compared)).alias("c"))
+
+    def matches_of(words: Column) -> Column:
+        # a unit of d distinct words has d - 1 distinct bigrams at least, and of n words n - 1 at most
+        near = (F.size(words) - 1 >= least) & ((F.size(words) - 1 <= most) | (F.size(F.array_distinct(words)) - 1 <= most))
+        return F.when(near, let(bigrams_of(words), compared))
+
+    # one expression, exploded as it is: a filter on a column of it would have it computed again
+    scored = units.select("doc_id", F.explode(let(words_of(F.col("unit")), matches_of)).alias("c"))
     hits = scored.where(F.col("c.dice") >= threshold).select("doc_id", "c.name", "c.dice")
     # one row a unit and template at most; a document's best comes by min over (-dice, name)
     found = cut(hits.groupBy("doc_id").agg(F.min(F.struct((-F.col("dice")).alias("minus"), "name")).alias("best"), F.count("*").alias("n_hits")))
