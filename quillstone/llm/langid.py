@@ -15,7 +15,6 @@ Defined results: null, empty and letterless texts are `und` with score 0; withou
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,12 +35,11 @@ ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 2e-4, 1e-4, 3
 #: Characters scored at once.
 BLOCK_CHARS = 1 << 20
 
-_LETTER = re.compile(r"[^\W\d_]")
 _SPACE = 32
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    return bool(text) and any(map(str.isalpha, text))
 
 
 def _letter_table() -> np.ndarray:
@@ -92,7 +90,7 @@ def sparse_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
         values.append(counts / max(counts.sum(), 1))
     columns, values = np.concatenate(columns), np.concatenate(values)
     merged, back = np.unique(columns, return_inverse=True)
-    return merged, np.bincount(back, values, minlength=len(merged))
+    return merged.astype(np.int32), np.bincount(back, values, minlength=len(merged)).astype(np.float32)
 
 
 @dataclass
@@ -157,12 +155,13 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
     for _, columns, _ in rows:
         seen[columns] += 1
     idf = np.log((1 + len(rows)) / (1 + seen)) + 1
-    data = [(place[lang], np.append(columns, DIMENSIONS), np.append(values * idf[columns], 1.0)) for lang, columns, values in rows]
-    held = [d for i, d in enumerate(data) if i % CALIBRATE_EVERY == 0]
-    fit = [d for i, d in enumerate(data) if i % CALIBRATE_EVERY] or data
+    # the sample stays as it came, in 32 bits; a row is widened and weighted only while it is looked at
+    wide = lambda row: (place[row[0]], np.append(row[1], DIMENSIONS), np.append(row[2] * idf[row[1]], 1.0))
+    held = [r for i, r in enumerate(rows) if i % CALIBRATE_EVERY == 0]
+    fit = [r for i, r in enumerate(rows) if i % CALIBRATE_EVERY] or rows
     z, n, w = np.zeros((DIMENSIONS + 1, k)), np.zeros((DIMENSIONS + 1, k)), np.zeros((DIMENSIONS + 1, k))
     for _ in range(EPOCHS):
-        for y, columns, x in fit:
+        for y, columns, x in map(wide, fit):
             zc, nc = z[columns], n[columns]
             wc = np.where(np.abs(zc) <= L1, 0.0, -(zc - np.sign(zc) * L1) / ((BETA + np.sqrt(nc)) / ALPHA + L2))
             p = _softmax((x @ wc)[None])[0]
@@ -172,7 +171,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
             z[columns] = zc + g - (np.sqrt(grown) - np.sqrt(nc)) / ALPHA * wc
             n[columns] = grown
     w = np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
-    logits, y = np.array([x @ w[c] for _, c, x in held]), np.array([y for y, _, _ in held])
+    logits, y = np.array([x @ w[c] for _, c, x in map(wide, held)]), np.array([place[r[0]] for r in held])
     return Model(languages, np.ascontiguousarray((w[:-1] * idf[:, None]).T).astype(np.float32), w[-1], _temperature(logits, y))
 
 
@@ -212,9 +211,9 @@ def training_rows(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> list[tupl
             rows = [(lang, unit, *sparse_counts(text)) for lang, unit, text in zip(batch["lang"], batch["unit"], batch["text"]) if has_letter(text)]
             yield pd.DataFrame(rows, columns=["lang", "unit", "columns", "values"])
 
-    found = picked.select("lang", "unit", "text").mapInPandas(count, "lang string, unit double, columns array<long>, values array<double>").toPandas()
+    found = picked.select("lang", "unit", "text").mapInPandas(count, "lang string, unit double, columns array<int>, values array<float>").toPandas()
     found = found.sort_values(["unit", "lang"], kind="stable").groupby("lang", sort=False).head(2 * per_lang)
-    return [(lang, np.asarray(c, np.int64), np.asarray(v, np.float64)) for lang, c, v in zip(found["lang"], found["columns"], found["values"])]
+    return [(lang, np.asarray(c, np.int32), np.asarray(v, np.float32)) for lang, c, v in zip(found["lang"], found["columns"], found["values"])]
 
 
 def fit(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:

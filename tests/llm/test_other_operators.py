@@ -129,7 +129,7 @@ def test_language_of_held_out_documents(spark):
 
 
 def test_language_ignores_labels_and_rejects_letterless_texts(spark):
-    texts = ["the cat and the dog of the house"] * 8 + ["der Hund und die Katze in dem Haus"] * 8 + [None, "", "12 34 !!", "中文"]
+    texts = ["the cat and the dog of the house"] * 8 + ["der Hund und die Katze in dem Haus"] * 8 + [None, "", "12 34 \u00bd !!", "中文"]
     rows = [(i, t, "en" if i < 8 else "de" if i < 16 else None, "clash", 0.5) for i, t in enumerate(texts)] + [(None, "the dog", "en", None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string, score double")
     model = langid.fit(docs)
