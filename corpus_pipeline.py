@@ -17,9 +17,9 @@ from quillstone.llm.common import ensure_shared_dir
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the classifier knows; it learns from the labelled ones outside the held-out fold.
 
-    Null and letterless texts go. Nothing else does: a language by low probability is still a clean document.
+    Null and letterless texts go, and texts far stranger than any that the classifier was calibrated on: other languages, code, gibberish.
     """
-    return langid.reject(docs)
+    return langid.reject(docs, slack=langid.SLACK)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

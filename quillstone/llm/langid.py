@@ -9,6 +9,10 @@ The classifier is fitted on a bounded sample: at most SAMPLE_PER_LANG labelled t
 picked by a hash of doc_id over the whole table; executors turn them into sparse counts, so the driver receives at most
 DIMENSIONS pairs a document. Scoring covers every whole text, in numpy, over Arrow batches.
 
+The probabilities are shares among the learned languages, so they cannot tell a text in none of them (on separable languages every one is
+near 1). For that the model measures a text's strangeness: how far its mean IDF lies above the usual one, in units that allow short texts more.
+The calibration rows, each against the IDF without itself, give the limit: SLACK times the strangest of them.
+
 Defined results: null, empty and letterless texts are `und` with score 0; without any labelled training row everything is
 `und` with score 0; rows with a null doc_id are scored but never learned from; repeated rows get equal results.
 """
@@ -32,6 +36,9 @@ SAMPLE_PER_LANG = 1200
 CALIBRATE_EVERY = 5
 FOLDS, HELD_OUT_FOLD = 5, 0
 ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 2e-4, 1e-4, 3
+#: Times the strangest calibration row that a text may be strange; n-grams that weigh as much as a text's length in its strangeness;
+#: calibration rows needed for a limit (none is set by fewer).
+SLACK, STEADY_CHARS, LEAST_CALIBRATION = 1.5, 1000, 20
 #: Characters scored at once.
 BLOCK_CHARS = 1 << 20
 
@@ -95,16 +102,23 @@ def sparse_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    """languages, weights (DIMENSIONS, languages) with the IDF multiplied in, bias and temperature."""
+    """languages, weights (DIMENSIONS, languages) with the IDF multiplied in, bias and temperature; IDF, its usual mean and the strangest calibration row."""
 
     languages: list[str]
     weights: np.ndarray
     bias: np.ndarray
     temperature: float
+    idf: np.ndarray
+    usual: float
+    strangest: float
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """The language and its calibrated probability for each text."""
-        names, scores = ["und"] * len(texts), np.zeros(len(texts))
+        return self.judge(texts)[:2]
+
+    def judge(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The language, its calibrated probability and the strangeness of each text."""
+        names, scores, strange = ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
         known = [i for i, t in enumerate(texts) if self.languages and has_letter(t)]
         block: list[int] = []
         size = 0
@@ -112,17 +126,19 @@ class Model:
             block.append(i)
             size += len(texts[i])
             if size >= BLOCK_CHARS or place == len(known) - 1:
-                p = _softmax(self._logits([texts[j] for j in block]) / self.temperature)
+                logits, strange[block] = self._logits([texts[j] for j in block])
+                p = _softmax(logits / self.temperature)
                 best = p.argmax(1)
                 for j, b, score in zip(block, best.tolist(), p.max(1).tolist()):
                     names[j], scores[j] = self.languages[b], score
                 block, size = [], 0
-        return names, scores
+        return names, scores, strange
 
-    def _logits(self, texts: list[str]) -> np.ndarray:
+    def _logits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         points, starts = _points(texts)
         out = np.tile(self.bias, (len(texts), 1)).astype(np.float64)
         ends = np.append(starts[1:], len(points))
+        surprise = np.zeros(len(texts))
         for order in ORDERS:
             counts = ends - starts - order + 1
             h = _hashes(points, order)
@@ -136,7 +152,13 @@ class Model:
             firsts = np.cumsum(counts[some]) - counts[some]
             for k in range(len(self.languages)):
                 out[some, k] += np.add.reduceat(self.weights[k][h], firsts, dtype=np.float64) / counts[some]
-        return out
+            surprise[some] += np.add.reduceat(self.idf[h], firsts, dtype=np.float64) / counts[some]
+        return out, _strangeness(surprise, ends - starts, self.usual)
+
+
+def _strangeness(surprise: np.ndarray, sizes: np.ndarray, usual: float) -> np.ndarray:
+    """How far surprise (sums of TF times IDF) of texts of sizes letters lies above the usual one; a mean over few n-grams may lie further off."""
+    return (surprise - usual) / np.sqrt(1 / np.maximum(sizes, 1) + 1 / STEADY_CHARS)
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -144,15 +166,15 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def train(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
-    """FTRL-proximal with elastic net over (language, columns, TF values), in the order given; then the temperature."""
-    languages = sorted({lang for lang, _, _ in rows})
+def train(rows: list[tuple[str, np.ndarray, np.ndarray, int]]) -> Model:
+    """FTRL-proximal with elastic net over (language, columns, TF values, letters), in the order given; then the temperature and the limit."""
+    languages = sorted({row[0] for row in rows})
     if not languages:
-        return Model([], np.zeros((0, DIMENSIONS), np.float32), np.zeros(0), 1.0)
+        return Model([], np.zeros((0, DIMENSIONS), np.float32), np.zeros(0), 1.0, np.zeros(DIMENSIONS, np.float32), 0.0, np.inf)
     k = len(languages)
     place = {lang: i for i, lang in enumerate(languages)}
     seen = np.zeros(DIMENSIONS)
-    for _, columns, _ in rows:
+    for _, columns, _, _ in rows:
         seen[columns] += 1
     idf = np.log((1 + len(rows)) / (1 + seen)) + 1
     # the sample stays as it came, in 32 bits; a row is widened and weighted only while it is looked at
@@ -172,7 +194,12 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
             n[columns] = grown
     w = np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
     logits, y = np.array([x @ w[c] for _, c, x in map(wide, held)]), np.array([place[r[0]] for r in held])
-    return Model(languages, np.ascontiguousarray((w[:-1] * idf[:, None]).T).astype(np.float32), w[-1], _temperature(logits, y))
+    # a held row counted for its own IDF, so it is taken out
+    surprise = np.array([r[2] @ (np.log((1 + len(rows)) / seen[r[1]]) + 1) for r in held])
+    usual = float(np.median(surprise))
+    strangest = _strangeness(surprise, np.array([r[3] for r in held]), usual).max() if len(held) >= LEAST_CALIBRATION else np.inf
+    weights = np.ascontiguousarray((w[:-1] * idf[:, None]).T).astype(np.float32)
+    return Model(languages, weights, w[-1], _temperature(logits, y), idf.astype(np.float32), usual, float(strangest))
 
 
 def _temperature(logits: np.ndarray, y: np.ndarray) -> float:
@@ -192,8 +219,8 @@ def fold(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS
 
 
-def training_rows(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """(language, columns, values) of at most about per_lang training documents a language, in the order of an id's hash.
+def training_rows(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> list[tuple[str, np.ndarray, np.ndarray, int]]:
+    """(language, columns, values, letters) of at most about per_lang training documents a language, in the order of an id's hash.
 
     Two passes: the number of training rows of each language gives the share of hash values to keep; then only rows
     under that share are read further. Rows beyond twice per_lang of one hash share are cut after the collection.
@@ -208,12 +235,12 @@ def training_rows(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> list[tupl
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(lang, unit, *sparse_counts(text)) for lang, unit, text in zip(batch["lang"], batch["unit"], batch["text"]) if has_letter(text)]
-            yield pd.DataFrame(rows, columns=["lang", "unit", "columns", "values"])
+            rows = [(lang, unit, *sparse_counts(text), len(_points([text])[0])) for lang, unit, text in zip(batch["lang"], batch["unit"], batch["text"]) if has_letter(text)]
+            yield pd.DataFrame(rows, columns=["lang", "unit", "columns", "values", "letters"])
 
-    found = picked.select("lang", "unit", "text").mapInPandas(count, "lang string, unit double, columns array<int>, values array<float>").toPandas()
+    found = picked.select("lang", "unit", "text").mapInPandas(count, "lang string, unit double, columns array<int>, values array<float>, letters int").toPandas()
     found = found.sort_values(["unit", "lang"], kind="stable").groupby("lang", sort=False).head(2 * per_lang)
-    return [(lang, np.asarray(c, np.int32), np.asarray(v, np.float32)) for lang, c, v in zip(found["lang"], found["columns"], found["values"])]
+    return [(lang, np.asarray(c, np.int32), np.asarray(v, np.float32), n) for lang, c, v, n in zip(found["lang"], found["columns"], found["values"], found["letters"])]
 
 
 def fit(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:
@@ -235,14 +262,19 @@ def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     return docs.select(*columns, predicted(F.col("text")).alias(name)).select(*columns, F.col(name)["lang_pred"].alias("lang_pred"), F.col(name)["score"].alias("score"))
 
 
-def reject(docs: DataFrame, min_score: float = 0.0, per_lang: int = SAMPLE_PER_LANG) -> DataFrame:
-    """The rows of docs, with its columns, whose text has letters and is a learned language by min_score at least."""
-    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, per_lang))
+def reject(docs: DataFrame, min_score: float = 0.0, per_lang: int = SAMPLE_PER_LANG, slack: float | None = None) -> DataFrame:
+    """The rows of docs, with its columns, whose text has letters and is a learned language by min_score at least.
+
+    With slack, texts go too that are more than slack times as strange as the strangest calibration row: other languages, code, gibberish.
+    """
+    model = fit(docs, per_lang)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    limit = np.inf if slack is None else slack * max(model.strangest, 1.0)
 
     @F.pandas_udf("boolean")
     def known(texts: pd.Series) -> pd.Series:
-        names, scores = sent.value.predict([t if isinstance(t, str) else None for t in texts])
-        return pd.Series(np.array([n != "und" for n in names], bool) & (scores >= min_score))
+        names, scores, strange = sent.value.judge([t if isinstance(t, str) else None for t in texts])
+        return pd.Series(np.array([n != "und" for n in names], bool) & (scores >= min_score) & (strange <= limit))
 
     return docs.where(known(F.col("text")))
 

@@ -142,6 +142,23 @@ def test_language_ignores_labels_and_rejects_letterless_texts(spark):
     assert langid.reject(empty).count() == 0 and langid.reject(docs.withColumn("lang", F.lit(None).cast("string"))).count() == 0
 
 
+def test_pipeline_rejects_unknown_languages_and_gibberish(spark):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    rnd = np.random.default_rng(5)
+    planted = [
+        "今天天气很好，我们去公园散步，然后回家吃饭。" * 20,
+        "Сегодня хорошая погода, и мы пошли гулять в парк. " * 20,
+        "Dzisiaj jest ładna pogoda i poszliśmy na spacer do parku, a potem wróciliśmy do domu. " * 20,
+        "Tänään on kaunis sää ja menimme kävelylle puistoon, minkä jälkeen palasimme kotiin syömään. " * 20,
+        "".join(rnd.choice(list("bcdfghjklmnpqrstvwxyz "), 2000)),
+        "qzxj wvkq xzzq jqwx " * 80,
+        "{ xs[i] = qux(&ptr->bz[j]); if (!xs[i] || j >> 3) goto err_wq; } // #ifdef XQ_Z\n" * 30,
+    ]
+    rows = [(10**9 + i, t, None, "src1", len(t)) for i, t in enumerate(planted)]
+    kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs.union(spark.createDataFrame(rows, docs.schema)), MEDIUM).collect()}
+    assert kept == {r["doc_id"] for r in docs.collect()}
+
+
 def test_licences(spark):
     mit = licenses.TEMPLATES["MIT"]
     texts = [None, "", "word", mit, mit.upper().replace(" ", "\n  ", 3), "intro\n\n" + mit.replace("Software", "Program", 1) + "\n\nend", "text\nLicensed under CC BY-NC 4.0.\nmore " + "filler words " * 3000, "Released under the MIT license!", "permission is hereby granted to no one", "Licensed under Apache"]
