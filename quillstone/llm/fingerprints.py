@@ -5,7 +5,7 @@ sum over its paragraphs, lane by lane, modulo powers of two; so the order of par
 taking away paragraphs adds or takes away their vectors. A vector has two banks:
 
 * SUM_LANES lanes modulo 2**64 from salted 64-bit hashes of the whole paragraph, for equality;
-* BIT_LANES lanes modulo 2**16 from the paragraph's word trigrams (the whole paragraph, if shorter): a trigram adds +1 to lane
+* BIT_LANES lanes modulo 2**32 from the paragraph's word trigrams (the whole paragraph, if shorter): a trigram adds +1 to lane
   i if bit i of its hash is set, else -1. Sums of such lanes keep inner products (tug of war), so the cosine of two
   texts' lanes, cut off below zero, estimates the likeness of their trigram multisets.
 
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, let, small_side, table
 
-SUM_LANES, BIT_LANES, BIT_BITS, SHINGLE = 4, 64, 16, 3
+SUM_LANES, BIT_LANES, BIT_BITS, SHINGLE = 4, 64, 32, 3
 #: Documents of one span of doc_id, on average, and the most spans.
 SPAN_ROWS, MAX_SPANS = 1_000, 65_536
 _NULL_ID = 2**63 - 1
@@ -90,8 +90,8 @@ def bit_sums(segments: DataFrame, *keys: str) -> DataFrame:
 
 
 def _lanes(bits: Column, pieces: Column) -> Column:
-    """Signed lanes 2 * bits - pieces, modulo 2**BIT_BITS, as numbers from -2**15 on."""
-    half = 1 << (BIT_BITS - 1)
+    """Signed lanes 2 * bits - pieces, modulo 2**BIT_BITS, as numbers from -2**31 on; no text has the 2**31 trigrams that would wrap."""
+    half = F.lit(1 << (BIT_BITS - 1))
     return F.transform(bits, lambda b: (F.pmod(2 * b - pieces + half, F.lit(1 << BIT_BITS)) - half).cast("int"))
 
 

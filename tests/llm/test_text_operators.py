@@ -174,6 +174,12 @@ def test_routes_and_dealing_cover_every_variant():
         assert groups(found) == want
 
 
+def test_likeness_of_long_repetitive_texts(spark):
+    docs = spark.createDataFrame([(0, "a b c\n" * 40_000), (1, "p q r\n" * 10), (2, "a b c\n" * 20_000)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in fingerprints.fingerprint_edits(docs).collect()}
+    assert got[0]["near_edited"] > 0.99 and got[2]["near_next"] > 0.99 and got[2]["near_edited"] > 0.99
+
+
 def test_fingerprints_are_homomorphic(spark):
     texts = ["a b c d\ne f g h\ni j k l", "i j k l\na b c d\ne f g h", "a b c d\ne f g h", "", None, "x", "p q r s t\n" * 40 + "tail of it", LONG]
     docs = spark.createDataFrame([(10 * i, t) for i, t in enumerate(texts)] + [(0, texts[0]), (None, "last")], "doc_id long, text string")
