@@ -4,27 +4,27 @@ The tokenizer file (word ends, lower case, white space dropped) is read as it is
 text, the rest is put in NFC and lower case and falls into words at white space. No alternative of the split pattern
 matches white space, so a word's ids do not depend on its neighbours.
 
-Lexicon: all words of the corpus are counted; the LEXICON_WORDS most frequent are compiled on the driver into a minimal
-acyclic automaton (common suffixes share states) whose arcs carry counts, so that a path numbers its word; the number
-points at the word's ids. Spark hands the file to the executors, where every worker maps it into memory. Words outside
-the lexicon are merged exactly, pair by pair. LEXICON_WORDS bounds the file, not the result.
-
-Defined results: a null text is empty, with no ids and an empty decoded text; a text of any length is encoded whole;
-repeated rows give repeated results; an empty table has an empty lexicon.
+Lexicon: all words of the corpus of up to LEXICON_CHARS characters are counted; the LEXICON_WORDS most frequent are compiled on the
+driver into a minimal acyclic automaton (common suffixes share states) whose arcs carry counts, so that a path numbers its word; the
+number points at the word's ids. The file, named by its content, is put into the shared folder; Spark hands it to the executors, where
+every worker maps it into memory. Words outside the lexicon are merged exactly, pair by pair. Both limits bound the file, not the result.
+
+Defined results: a null text is empty, with no ids and an empty decoded text; a text of any length, also of one word, is encoded whole;
+a null or very large doc_id stays as it is; repeated rows give repeated results; an empty table has an empty lexicon and result; other
+columns are not read.
 """
 
 from __future__ import annotations
 
-import atexit
 import hashlib
 import json
 import os
-import tempfile
 import unicodedata
 import uuid
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -33,9 +33,9 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, ensure_shared_dir, table
 
-LEXICON_WORDS = 131_072
+LEXICON_WORDS, LEXICON_CHARS = 131_072, 64
 #: Words of the lexicon occur so often at least.
 MIN_COUNT = 2
 #: Entries of a worker's word cache, of its pre-token cache and of its counters before they are emptied.
@@ -102,20 +102,25 @@ class WordBpe:
         """Ids (little-endian unsigned 32 bits) of one pre-token: the pair of least rank, leftmost first, until none is left."""
         raw = piece.encode()
         ids = [self.inner[b] for b in raw[:-1]] + [self.last[raw[-1]]]
-        get, none = self.pairs.get, 1 << 60
-        ranks = [get(a << 17 | b, none) for a, b in zip(ids, ids[1:])]
-        while ranks:
-            best = min(ranks)
-            if best == none:
-                break
-            i = ranks.index(best)
-            ids[i : i + 2] = [best & 0x1FFFF]
-            del ranks[i]
-            if i:
-                ranks[i - 1] = get(ids[i - 1] << 17 | ids[i], none)
-            if i < len(ranks):
-                ranks[i] = get(ids[i] << 17 | ids[i + 1], none)
-        return np.array(ids, "<u4").tobytes()
+        # a heap of (pair, place) and links between the pieces that are left: n log n for words of any length
+        get, end = self.pairs.get, len(ids)
+        after, before = list(range(1, end + 1)), list(range(-1, end - 1))
+        heap = [(rank, i) for i, rank in enumerate(map(get, [a << 17 | b for a, b in zip(ids, ids[1:])])) if rank is not None]
+        heapify(heap)
+        while heap:
+            best, i = heappop(heap)
+            j = after[i]
+            if ids[i] < 0 or j >= end or get(ids[i] << 17 | ids[j]) != best:
+                continue  # one of the two has been merged since
+            ids[i], ids[j] = best & 0x1FFFF, -1
+            k = after[i] = after[j]
+            if k < end:
+                before[k] = i
+                if (rank := get(ids[i] << 17 | ids[k])) is not None:
+                    heappush(heap, (rank, i))
+            if (h := before[i]) >= 0 and (rank := get(ids[h] << 17 | ids[i])) is not None:
+                heappush(heap, (rank, h))
+        return np.array([i for i in ids if i >= 0], "<u4").tobytes()
 
     def encode_word(self, word: str) -> bytes:
         return b"".join([self.merge_one(p) for p in self._split.findall(word)])
@@ -292,8 +297,8 @@ class Lexicon:
         self.output = memoryview(self.ids).cast("B")
 
     @classmethod
-    def write(cls, path: str, entries: dict[str, bytes]) -> None:
-        """Compile word -> ids into the file."""
+    def compile(cls, entries: dict[str, bytes]) -> bytes:
+        """The file of word -> ids."""
         words = sorted(w.encode() for w in entries)
         arcs, final = minimal_automaton(words)
         below: dict[int, int] = {}
@@ -329,9 +334,7 @@ class Lexicon:
         offsets = np.cumsum([0, *map(len, outputs)])
         head = np.array([slots, len(order), len(words), offsets[-1], probes, 0, 0, 0], np.uint32)
         ends = np.array([final[s] for s in order], np.uint32)
-        with open(path, "wb") as f:
-            for part in (head, table_.ravel(), ends, offsets.astype(np.uint32), *outputs):
-                f.write(part.astype("<u4").tobytes())
+        return b"".join(part.astype("<u4").tobytes() for part in (head, table_.ravel(), ends, offsets.astype(np.uint32), *outputs))
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         """Number of each word, -1 if the automaton does not accept it: all words step through it together."""
@@ -400,7 +403,7 @@ class Encoder:
 
 
 def word_counts(docs: DataFrame, path: str) -> DataFrame:
-    """word, n over all texts: counted in each task first, then added up."""
+    """word, n over all texts, of words of up to LEXICON_CHARS characters: counted in each task first, then added up."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe, seen = tokenizer(path), Counter()
@@ -409,7 +412,7 @@ def word_counts(docs: DataFrame, path: str) -> DataFrame:
             for text in batch["text"]:
                 if text:
                     for part in bpe.parts(text)[::2]:
-                        seen.update(bpe.words(part))
+                        seen.update([w for w in bpe.words(part) if len(w) <= LEXICON_CHARS])
                     if len(seen) > COUNTED_WORDS:
                         yield emit()
                         seen.clear()
@@ -435,15 +438,28 @@ def frequent_words(docs: DataFrame, path: str, most: int) -> list[str]:
 
 
 def build_lexicon(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> str:
-    """Compile the most frequent words of docs into a file that Spark hands to the executors; its name there."""
+    """Compile the most frequent words of docs into a file that Spark hands to the executors; its name there.
+
+    A corpus whose words are as before has its file already.
+    """
     top = frequent_words(docs, path, words)
     bpe = tokenizer(path)
-    name = f"lexicon-{uuid.uuid4().hex}.bin"
-    place = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="lexicon-")), name)
-    Lexicon.write(place, dict(zip(top, bpe.encode_words(top))))
+    data = Lexicon.compile(dict(zip(top, bpe.encode_words(top))))
     bpe.forget()
-    atexit.register(lambda: os.path.exists(place) and os.remove(place))
-    docs.sparkSession.sparkContext.addFile(place)
+    spark = docs.sparkSession
+    name = f"lexicon-{hashlib.sha256(data).hexdigest()[:32]}.bin"
+    place = f"{ensure_shared_dir(spark)}/{name}"
+    jvm = spark._jvm
+    to_path = jvm.org.apache.hadoop.fs.Path
+    store = to_path(place).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(to_path(place)):
+        part = to_path(f"{place}.{uuid.uuid4().hex}")
+        out = store.create(part, True)
+        for at in range(0, len(data), 1 << 20):
+            out.write(bytearray(data[at : at + (1 << 20)]))
+        out.close()
+        store.rename(part, to_path(place))
+    spark.sparkContext.addFile(place)
     return name
 
 
@@ -457,6 +473,17 @@ def _encoder(path: str, name: str) -> Encoder:
     return _ENCODERS[path, name]
 
 
+def _parts(batches: Iterator[pd.DataFrame], rows: int = 256) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.iloc[at : at + rows]
+
+
+def _sent(docs: DataFrame) -> DataFrame:
+    """doc_id and text; ids cross to Python as text, since numbers beside nulls would turn to floats there."""
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+
+
 def encode(docs: DataFrame, path: str | None = None, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
     """doc_id, ids array<long> and decoded text of each row."""
     path = path or default_path()
@@ -464,12 +491,13 @@ def encode(docs: DataFrame, path: str | None = None, lexicon_words: int = LEXICO
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         worker = _encoder(path, name)
-        for batch in batches:
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = worker.encode([text])[0]
-                yield pd.DataFrame({"doc_id": [doc_id], "ids": [np.frombuffer(ids, "<u4").astype(np.int64)], "decoded": [worker.bpe.decode(ids)]})
+        for part in _parts(batches):
+            coded = worker.encode(part["text"].tolist())
+            ids = [np.frombuffer(c, "<u4").astype(np.int64) for c in coded]
+            yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "ids": ids, "decoded": [worker.bpe.decode(c) for c in coded]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, ids array<long>, decoded string")
+    found = _sent(docs).mapInPandas(run, "doc_id string, ids array<long>, decoded string")
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def encode_digests(docs: DataFrame, path: str | None = None, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
@@ -479,18 +507,17 @@ def encode_digests(docs: DataFrame, path: str | None = None, lexicon_words: int
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         worker = _encoder(path, name)
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.iloc[at : at + 256]
-                coded = worker.encode(part["text"].tolist())
-                yield pd.DataFrame({
-                    "doc_id": part["doc_id"].to_numpy(),
-                    "n_tokens": [len(ids) // 4 for ids in coded],
-                    "ids_sha256": [hashlib.sha256(ids).hexdigest() for ids in coded],
-                    "decoded_sha256": [hashlib.sha256(worker.bpe.decode(ids).encode()).hexdigest() for ids in coded],
-                })
-
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        for part in _parts(batches):
+            coded = worker.encode(part["text"].tolist())
+            yield pd.DataFrame({
+                "doc_id": part["doc_id"].to_numpy(),
+                "n_tokens": [len(ids) // 4 for ids in coded],
+                "ids_sha256": [hashlib.sha256(ids).hexdigest() for ids in coded],
+                "decoded_sha256": [hashlib.sha256(worker.bpe.decode(ids).encode()).hexdigest() for ids in coded],
+            })
+
+    found = _sent(docs).mapInPandas(run, "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: A side of a join is broadcast only if its counted rows times a row's bound stay under this many bytes.
 BROADCAST_BYTES = 32 << 20
 
+#: A key of more rows than this is hot: a join sends the rows that it meets to every task instead of dealing by the key.
+HOT_ROWS = 200_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of a table, so that the scan reads nothing else."""
@@ -45,6 +48,27 @@ def small_side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def hot_join(many: DataFrame, one: DataFrame, key: str, weight: str, row_bytes: int, at_most: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Inner join of many with one, which has a row a key and in column weight the number of rows of many under that key.
+
+    one is broadcast whole if its rows are few: counted here, unless at_most rows are known to be. Else its hot keys are (there are rows /
+    hot_rows of them at most; that is checked too) and the others are shuffled, so that no task gets more than hot_rows rows of one key.
+    """
+    if at_most is not None and at_most * row_bytes <= BROADCAST_BYTES:
+        return many.join(F.broadcast(one), key)
+    one = cut(one)
+    size = one.agg(F.count("*").alias("n"), F.count_if(F.col(weight) > hot_rows).alias("hot")).first()
+    if size["n"] * row_bytes <= BROADCAST_BYTES:
+        return many.join(F.broadcast(one), key)
+    if not size["hot"]:
+        return many.join(one, key)
+    hot = one.where(F.col(weight) > hot_rows)
+    met = many.join(small_side(hot.select(key, F.lit(True).alias("is_hot")), size["hot"], row_bytes), key, "left")
+    cold = met.where("is_hot is null").drop("is_hot").join(one.where(F.col(weight) <= hot_rows), key)
+    warm = met.where("is_hot").drop("is_hot").join(small_side(hot, size["hot"], row_bytes), key)
+    return cold.unionByName(warm)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """name, or name with underscores in front, so that it clashes with no column of df."""
     taken = {c.lower() for c in df.columns}

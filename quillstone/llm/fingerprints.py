@@ -13,12 +13,16 @@ A fingerprint is the hexadecimal of all lanes. An edited text is not hashed anew
 their old vectors are subtracted from the sum as the new ones are added.
 
 Defined results: a null text is empty and its vector zero; equal fingerprints have likeness 1, and a zero vector has likeness 0
-with any other; documents are ordered by doc_id (nulls last), then by text, and the last is followed by the first, so
-that rows that repeat a doc_id follow each other and the only document follows itself.
+with any other; documents are ordered by doc_id (nulls last), those of one doc_id, or of none, by a hash of the text; the last is
+followed by the first, so that rows that repeat a doc_id follow each other and the only document follows itself; texts of any
+length are fingerprinted whole; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -110,18 +114,34 @@ def likeness(print_a: Column, lanes_a: Column, print_b: Column, lanes_b: Column)
 
 
 def spans_of(ids: DataFrame) -> Column:
-    """The span of each id: how many of the cut points, about SPAN_ROWS rows apart by quantile, are not above it."""
+    """The span of each row of ids (id, tie): how many of the cut points, about SPAN_ROWS rows apart by quantile, are not above its id.
+
+    An id that is several cut points holds many rows; they are split into as many spans by tie, a hash below 2**63.
+    """
     n = ids.count()
     parts = min(MAX_SPANS, max(1, n // SPAN_ROWS))
     shares = [i / parts for i in range(1, parts)]
     found = ids.agg(F.percentile_approx("id", shares, F.lit(10 * parts)).alias("cuts")).first()["cuts"] if shares and n else None
-    points = sorted(set(found or []))
+    splits = Counter(found or [])
+    points = sorted(splits)
     if not points:
         return F.lit(0)
-    points = F.lit(points)
-    steps = [1 << k for k in reversed(range(len(found).bit_length()))]
-    size = F.size(points)
-    return F.aggregate(F.lit(steps), F.lit(0), lambda at, step: F.when((at + step <= size) & (F.get(points, at + step - 1) <= F.col("id")), at + step).otherwise(at))
+    # a split id has spans of its own, then come the ids up to the next point; any other point shares a span with them
+    widths = [splits[p] + 1 if splits[p] > 1 else 1 for p in points]
+    firsts = list(accumulate(widths, initial=1))[:-1]
+    literal = lambda values, kind: F.expr(f"array({', '.join(map(str, values))})").cast(f"array<{kind}>")
+    points_, splits_, firsts_ = literal(points, "bigint"), literal([splits[p] for p in points], "int"), literal(firsts, "int")
+    steps = F.lit([1 << k for k in reversed(range(len(points).bit_length()))])
+    below = lambda at, step: F.get(points_, at + step - 1) <= F.col("id")
+    place = F.aggregate(steps, F.lit(0), lambda at, step: F.when((at + step <= len(points)) & below(at, step), at + step).otherwise(at))
+
+    def span(at: Column) -> Column:
+        k = F.get(splits_, at - 1)
+        part = F.least((F.col("tie") / F.lit(float(1 << 63)) * k).cast("int"), k - 1)
+        inside = F.when(k == 1, 0).when(F.get(points_, at - 1) == F.col("id"), part).otherwise(k)
+        return F.when(at == 0, 0).otherwise(F.get(firsts_, at - 1) + inside)
+
+    return let(place, span)
 
 
 def _segments(spanned: DataFrame) -> DataFrame:
@@ -161,16 +181,17 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     and a span's last document gets the first text of the next span. All that follows keeps that partitioning.
     """
     base = docs.select("doc_id", F.coalesce("doc_id", F.lit(_NULL_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    placed = base.withColumn("span", spans_of(base.select("id")))
-    starts = cut(placed.groupBy("span").agg(F.min("id").alias("id")))
+    base = base.withColumn("tie", F.shiftrightunsigned(F.xxhash64("text"), 1))
+    placed = base.withColumn("span", spans_of(base.select("id", "tie")))
+    starts = cut(placed.groupBy("span").agg(F.min(F.struct("id", "tie")).alias("least")).select("span", "least.id", "least.tie"))
     then = Window.orderBy("span")
-    follows = starts.select("span", "id", F.coalesce(F.lag("span").over(then), F.max("span").over(Window.partitionBy())).alias("before"))
-    heads = placed.join(small_side(follows.select("span", "id", "before"), starts.count(), 32), ["span", "id"])
+    follows = starts.select("span", "id", "tie", F.coalesce(F.lag("span").over(then), F.max("span").over(Window.partitionBy())).alias("before"))
+    heads = placed.join(small_side(follows, starts.count(), 40), ["span", "id", "tie"])
     heads = cut(heads.groupBy(F.col("before").alias("span")).agg(F.min("text").alias("then_text")))
     printed = fingerprint_texts(heads.select("span", F.col("then_text").alias("text")), "span")
     printed = cut(printed.select("span", F.col("lanes").alias("then_lanes"), F.col("fingerprint").alias("then_print")))
 
-    order = Window.partitionBy("span").orderBy("id", "text")
+    order = Window.partitionBy("span").orderBy("id", "tie", "text")
     rows = placed.withColumn("next_text", F.lead("text").over(order)).withColumn("rn", F.row_number().over(order))
     rows = rows.join(heads, "span").withColumn("next_text", F.coalesce("next_text", "then_text")).drop("then_text")
     parts = _segments(rows)

@@ -1,20 +1,22 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 Features: character 1-, 2- and 3-grams of the lower-cased text, every run of characters that are not letters read as
-one space, hashed to DIMENSIONS columns. TF is an n-gram's share of the text's n-grams of its order, IDF comes from the
-training sample. Training: follow-the-regularised-leader (FTRL-proximal) with L1 and L2 penalties, then one temperature
-fitted on sample rows that training left out.
+one space, hashed to DIMENSIONS columns. TF is an n-gram's share of the text's n-grams of its order; IDF comes from all training
+documents, counted in Spark: each task adds up its documents' columns, and the driver gets DIMENSIONS sums at most. Training:
+follow-the-regularised-leader (FTRL-proximal) with L1 and L2 penalties, then one temperature fitted on sample rows that training left out.
 
-The classifier is fitted on a bounded sample: at most SAMPLE_PER_LANG labelled training documents of each language,
-picked by a hash of doc_id over the whole table; executors turn them into sparse counts, so the driver receives at most
-DIMENSIONS pairs a document. Scoring covers every whole text, in numpy, over Arrow batches.
+The classifier is fitted on a bounded sample: at most SAMPLE_PER_LANG labelled training documents of each language, SAMPLE_ROWS of all and
+SAMPLE_PAIRS n-gram counts together, picked by a hash of doc_id over the whole table; it learns the MAX_LANGUAGES most frequent labels.
+Executors turn the documents into sparse counts. Scoring covers every whole text, in numpy, over Arrow batches.
 
 The probabilities are shares among the learned languages, so they cannot tell a text in none of them (on separable languages every one is
 near 1). For that the model measures a text's strangeness: how far its mean IDF lies above the usual one, in units that allow short texts more.
 The calibration rows, each against the IDF without itself, give the limit: SLACK times the strangest of them.
 
 Defined results: null, empty and letterless texts are `und` with score 0; without any labelled training row everything is
-`und` with score 0; rows with a null doc_id are scored but never learned from; repeated rows get equal results.
+`und` with score 0; of languages of equal probability the first in code-point order is taken; rows with a null doc_id are scored but never
+learned from; of rows that repeat a training doc_id and label one, that of the least text, is in the sample; repeated rows get equal results;
+texts of any length are read whole; an empty table gives an empty result; other columns are not read by op10, and kept by reject.
 """
 
 from __future__ import annotations
@@ -24,14 +26,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import free_name, table
 
 DIMENSIONS = 1 << 16
 ORDERS = (1, 2, 3)
-SAMPLE_PER_LANG = 1200
+SAMPLE_PER_LANG, SAMPLE_ROWS, SAMPLE_PAIRS, MAX_LANGUAGES = 1200, 6000, 16_000_000, 400
 #: Share of the sample kept for the temperature: one in CALIBRATE_EVERY.
 CALIBRATE_EVERY = 5
 FOLDS, HELD_OUT_FOLD = 5, 0
@@ -50,9 +52,9 @@ def has_letter(text: str | None) -> bool:
 
 
 def _letter_table() -> np.ndarray:
-    """For each code point of the basic plane itself if a letter, else a space."""
-    points = np.arange(65536, dtype=np.uint32)
-    letters = np.fromiter((chr(c).isalpha() for c in range(65536)), bool, 65536)
+    """For each code point itself if a letter, else a space."""
+    points = np.arange(0x110000, dtype=np.uint32)
+    letters = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
     return np.where(letters, points, _SPACE).astype(np.uint32)
 
 
@@ -64,11 +66,7 @@ def _points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     if not _TABLE:
         _TABLE.append(_letter_table())
     parts = [f" {t.lower()} " for t in texts]
-    raw = np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32)
-    wide = raw > 65535
-    points = _TABLE[0][np.where(wide, _SPACE, raw)]
-    if wide.any():
-        points = np.where(wide, raw, points)
+    points = _TABLE[0][np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32)]
     starts = np.cumsum([0, *map(len, parts)])[:-1]
     keep = np.empty(len(points), bool)
     keep[:1] = True
@@ -166,17 +164,45 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def train(rows: list[tuple[str, np.ndarray, np.ndarray, int]]) -> Model:
-    """FTRL-proximal with elastic net over (language, columns, TF values, letters), in the order given; then the temperature and the limit."""
+def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """In how many texts with letters each column occurs, and the number of these texts."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, seen, n = np.zeros(DIMENSIONS + 1, np.int64), np.zeros(DIMENSIONS, bool), 0
+        for batch in batches:
+            for text in batch["text"]:
+                if has_letter(text):
+                    points, _ = _points([text])
+                    seen[:] = False
+                    for order in ORDERS:
+                        seen[_hashes(points, order)] = True
+                    total[:-1] += seen
+                    n += 1
+        total[-1] = n
+        some = np.flatnonzero(total)
+        yield pd.DataFrame({"column": some.astype(np.int32), "n": total[some]})
+
+    sums = docs.select("text").mapInPandas(count, "column int, n long").groupBy("column").agg(F.sum("n").alias("n")).toPandas()
+    total = np.zeros(DIMENSIONS + 1, np.int64)
+    total[sums["column"]] = sums["n"]
+    return total[:-1], int(total[-1])
+
+
+def train(rows: list[tuple[str, np.ndarray, np.ndarray, int]], seen: np.ndarray | None = None, n_docs: int = 0) -> Model:
+    """FTRL-proximal with elastic net over (language, columns, TF values, letters), in the order given; then the temperature and the limit.
+
+    seen, n_docs: in how many of n_docs documents, rows among them, each column occurs; by default those of rows.
+    """
     languages = sorted({row[0] for row in rows})
     if not languages:
         return Model([], np.zeros((0, DIMENSIONS), np.float32), np.zeros(0), 1.0, np.zeros(DIMENSIONS, np.float32), 0.0, np.inf)
     k = len(languages)
     place = {lang: i for i, lang in enumerate(languages)}
-    seen = np.zeros(DIMENSIONS)
-    for _, columns, _, _ in rows:
-        seen[columns] += 1
-    idf = np.log((1 + len(rows)) / (1 + seen)) + 1
+    if seen is None:
+        seen, n_docs = np.zeros(DIMENSIONS), len(rows)
+        for _, columns, _, _ in rows:
+            seen[columns] += 1
+    idf = np.log((1 + n_docs) / (1 + seen)) + 1
     # the sample stays as it came, in 32 bits; a row is widened and weighted only while it is looked at
     wide = lambda row: (place[row[0]], np.append(row[1], DIMENSIONS), np.append(row[2] * idf[row[1]], 1.0))
     held = [r for i, r in enumerate(rows) if i % CALIBRATE_EVERY == 0]
@@ -195,7 +221,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray, int]]) -> Model:
     w = np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
     logits, y = np.array([x @ w[c] for _, c, x in map(wide, held)]), np.array([place[r[0]] for r in held])
     # a held row counted for its own IDF, so it is taken out
-    surprise = np.array([r[2] @ (np.log((1 + len(rows)) / seen[r[1]]) + 1) for r in held])
+    surprise = np.array([r[2] @ (np.log((1 + n_docs) / seen[r[1]]) + 1) for r in held])
     usual = float(np.median(surprise))
     strangest = _strangeness(surprise, np.array([r[3] for r in held]), usual).max() if len(held) >= LEAST_CALIBRATION else np.inf
     weights = np.ascontiguousarray((w[:-1] * idf[:, None]).T).astype(np.float32)
@@ -219,33 +245,54 @@ def fold(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS
 
 
-def training_rows(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> list[tuple[str, np.ndarray, np.ndarray, int]]:
-    """(language, columns, values, letters) of at most about per_lang training documents a language, in the order of an id's hash.
+def training_documents(docs: DataFrame) -> DataFrame:
+    """The labelled documents outside the held-out fold."""
+    return docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT_FOLD))
 
-    Two passes: the number of training rows of each language gives the share of hash values to keep; then only rows
-    under that share are read further. Rows beyond twice per_lang of one hash share are cut after the collection.
+
+def training_rows(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, all_rows: int = SAMPLE_ROWS, all_pairs: int = SAMPLE_PAIRS) -> list[tuple[str, np.ndarray, np.ndarray, int]]:
+    """(language, columns, values, letters) of the sample, in the order of an id's hash.
+
+    The number of training rows of each language gives the share of hash values to keep; the lengths of the texts under that share (a
+    text of n characters has 3 n n-grams at most) tell where the bound on pairs cuts them; only what is left is turned into counts.
     """
-    pool = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT_FOLD))
-    counts = {r["lang"]: r["n"] for r in pool.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    pool = training_documents(docs)
+    counts = {r["lang"]: r["n"] for r in pool.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
+    if not counts:
+        return []
+    most = max(1, min(per_lang, all_rows // len(counts)))
     unit = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    share = F.lit(0.0)
-    for lang, n in sorted(counts.items()):
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, per_lang / n))).otherwise(share)
-    picked = pool.select("doc_id", "lang", "text", unit.alias("unit")).where(F.col("unit") < share)
+
+    def under(limits: dict[str, float]) -> Column:
+        names = sorted(limits)
+        limit = F.try_element_at(F.create_map(*[F.lit(x) for lang in names for x in (lang, limits[lang])]), F.col("lang"))
+        return F.coalesce(F.col("unit") < limit, F.lit(False))
+
+    placed = pool.select("lang", "text", unit.alias("unit"))
+    shares = {lang: min(1.0, most / n) for lang, n in counts.items()}
+    sample = placed.where(under(shares)).groupBy("lang", "unit").agg(F.min("text").alias("text"))
+    limits, used, rows = dict(shares), dict.fromkeys(counts, 0), dict.fromkeys(counts, 0)
+    for r in sorted(sample.select("lang", "unit", F.length("text").alias("n")).collect(), key=lambda r: (r["unit"], r["lang"])):
+        lang = r["lang"]
+        used[lang] += min(3 * (r["n"] or 0) + 6, DIMENSIONS)
+        rows[lang] += 1
+        if rows[lang] > 1 and (used[lang] > all_pairs // len(counts) or rows[lang] > 2 * most):
+            limits[lang] = min(limits[lang], r["unit"])
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [(lang, unit, *sparse_counts(text), len(_points([text])[0])) for lang, unit, text in zip(batch["lang"], batch["unit"], batch["text"]) if has_letter(text)]
             yield pd.DataFrame(rows, columns=["lang", "unit", "columns", "values", "letters"])
 
-    found = picked.select("lang", "unit", "text").mapInPandas(count, "lang string, unit double, columns array<int>, values array<float>, letters int").toPandas()
-    found = found.sort_values(["unit", "lang"], kind="stable").groupby("lang", sort=False).head(2 * per_lang)
+    found = sample.where(under(limits)).mapInPandas(count, "lang string, unit double, columns array<int>, values array<float>, letters int").toPandas()
+    found = found.sort_values(["unit", "lang"], kind="stable")
     return [(lang, np.asarray(c, np.int32), np.asarray(v, np.float32), n) for lang, c, v, n in zip(found["lang"], found["columns"], found["values"], found["letters"])]
 
 
 def fit(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:
     """A model of the training documents (doc_id, text, lang)."""
-    return train(training_rows(docs, per_lang))
+    rows = training_rows(docs, per_lang)
+    return train(rows, *document_frequencies(training_documents(docs))) if rows else train([])
 
 
 def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:

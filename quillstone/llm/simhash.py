@@ -9,10 +9,12 @@ size asks for, so that a hot group's variants spread over many tasks, each varia
 
 All fingerprints that share a variant lie within RADIUS of each other, and each such pair is verified by its bit
 distance as it is linked. A task returns a spanning forest of its cell's links, not the pairs: no more rows than fingerprints
-it got. Components are then found by min-label contraction over those links, in checkpointed rounds.
+it got. Components are then found by min-label contraction over those links, in checkpointed rounds. Joins on fingerprints, nodes
+and roots send what hot ones need to every task (hot_join), so a large component, a hub or a much copied text does not meet in one.
 
 Defined results: null, empty and wordless texts have fingerprint zero and are linked like any other; repeated rows each
-get a row; a null doc_id gets its component but never names one; an empty table gives an empty result.
+get a row; a null doc_id gets its component but never names one, a very large one stays as it is; texts of any length are read whole;
+an empty table gives an empty result; other columns, whatever their names, are kept by keep_one and not read otherwise.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, small_side, table
+from .common import HOT_ROWS, cut, hot_join, small_side, table
 
 BITS, RADIUS, SHINGLE = 64, 4, 4
 HALF = RADIUS // 2
@@ -170,34 +172,34 @@ def links(distinct: DataFrame, n: int) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """node, root: the least node reachable over edges (a, b), by large-star and small-star rounds."""
     edges = cut(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = None
+    before, n = None, edges.count()
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
+        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("degree")).select("a", F.least("a", "m").alias("m"), "degree")
+        large = hot_join(both.where("b > a"), least, "a", "degree", 24, 2 * n).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+        large = large if n <= HOT_ROWS else cut(large)
+        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("degree"))
+        small = hot_join(large, least, "a", "degree", 24, 2 * n).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
         edges = cut(small.where("a != b").distinct())
         state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if state == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = state
+        before, n = state, state[0]
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fp and component_id (least doc_id reachable) of each row of docs (doc_id, text)."""
     prints = cut(fingerprints(docs, "doc_id"))
-    named = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    named = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")))
     n = named.count()
-    found = cut(components(links(named.select("fp"), n)))
-    moved = found.count()
-    # every fingerprint with its component's root, then the component's least doc_id
-    rooted = named.join(small_side(found, moved, 32), named["fp"] == found["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    # only fingerprints of components of more than one need the answer by root
-    changed = cut(rooted.join(least, "root").where(F.col("component_id") != F.coalesce(F.col("least"), F.col("component_id") + 1)).select("fp", F.col("component_id").alias("of")))
-    by_fp = named.join(small_side(changed, changed.count(), 32), "fp", "left").select("fp", F.coalesce("of", "least").alias("component_id"))
-    return prints.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    found = components(links(named.select("fp"), n))
+    # the members of components of more than one, with what names them
+    members = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "fp")
+    members = cut(hot_join(named.select("fp", "least"), members.withColumn("one", F.lit(1)), "fp", "one", 24, n))
+    least = members.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("size"))
+    renamed = hot_join(members, least, "root", "size", 24, n).select("fp", F.col("component_id").alias("of"), F.lit(True).alias("linked"))
+    answers = named.join(renamed, "fp", "left").select("fp", F.when(F.col("linked"), F.col("of")).otherwise(F.col("least")).alias("component_id"), "copies")
+    return hot_join(prints, answers, "fp", "copies", 32, n).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

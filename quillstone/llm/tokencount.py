@@ -10,7 +10,8 @@ splitting starts at the first pre-token that ends within LOOK_AHEAD characters o
 border behind the edit that was a border before: from there on the old pre-tokens hold.
 
 Defined results: a null text is empty, with 0 tokens; edits are (start, end, text) in code points of the text as the edits
-before have left it, cut off at its ends; null edits are none; repeated rows give repeated results.
+before have left it, cut off at its ends; null edits are none; a null or very large doc_id stays as it is; repeated rows give
+repeated results; an empty table gives an empty result; texts of any length are counted whole; other columns are not read.
 """
 
 from __future__ import annotations
@@ -82,21 +83,17 @@ class TokenTree:
         self.counts = counts
         self.work = 0  # characters split anew by edits
         pieces = counts.split.findall(text)
-        self._build([pieces[i : i + BLOCK] for i in range(0, len(pieces), BLOCK)] or [[]], counts.counts(pieces))
-
-    def _build(self, blocks: list[list[str]], counts: list[int]) -> None:
-        self.blocks = blocks
-        self.block_counts, at = [], 0
-        for b in blocks:
-            self.block_counts.append(counts[at : at + len(b)])
-            at += len(b)
+        self.blocks, self.block_counts = _cut(pieces, counts.counts(pieces))
+        self._sum([_sums(b, c) for b, c in zip(self.blocks, self.block_counts)])
+
+    def _sum(self, known: list[tuple[int, int, int]]) -> None:
+        """The tree over the blocks' (characters, tokens, pre-tokens)."""
         self.leaves = 1
-        while self.leaves < len(blocks):
+        while self.leaves < len(known):
             self.leaves *= 2
         n = self.leaves
-        chars, tokens, sizes = [0] * (2 * n), [0] * (2 * n), [0] * (2 * n)
-        for i, (b, c) in enumerate(zip(blocks, self.block_counts)):
-            chars[n + i], tokens[n + i], sizes[n + i] = sum(map(len, b)), sum(c), len(b)
+        rest = [0] * (n - len(known))
+        chars, tokens, sizes = ([0] * n + [k[i] for k in known] + rest for i in range(3))
         for i in range(n - 1, 0, -1):
             chars[i], tokens[i], sizes[i] = chars[2 * i] + chars[2 * i + 1], tokens[2 * i] + tokens[2 * i + 1], sizes[2 * i] + sizes[2 * i + 1]
         self.chars, self.tokens, self.sizes = chars, tokens, sizes
@@ -147,6 +144,7 @@ class TokenTree:
         origin = ends[skip]
         last, base = self._find(end)
         span = [p for b in self.blocks[first : last + 1] for p in b]
+        span_counts = [c for b in self.block_counts[first : last + 1] for c in b]
         head, old = span[:skip], span[skip:]
         size = base + self.chars[self.leaves + last] - origin  # characters from origin to the end of block `last`
         text = "".join(old)
@@ -154,7 +152,7 @@ class TokenTree:
         shift = len(new) - (end - start)
         kept_from = set(accumulate(map(len, old), initial=0))
         pieces: list[str] = []
-        at, tail = 0, []
+        at, tail, known = 0, [], 0
         while True:
             # more blocks are read only if the split does not meet an old border in those at hand
             found = None
@@ -171,7 +169,7 @@ class TokenTree:
                 while place < found:
                     place += len(old[i])
                     i += 1
-                tail = old[i:]
+                tail, known = old[i:], len(old) - i
                 break
             following = last + 1
             while following < len(self.blocks) and not self.blocks[following]:
@@ -179,28 +177,42 @@ class TokenTree:
             if following >= len(self.blocks):
                 break
             more = self.blocks[following]
+            span_counts += self.block_counts[following]
             kept_from |= set(accumulate(map(len, more), initial=size))
             old += more
             text += "".join(more)
             size += self.chars[self.leaves + following]
             last = following
+        # only the pieces split anew are counted; what stays has its counts
         result = head + pieces + tail
-        counted = self.counts.counts(result)
+        counted = span_counts[:skip] + self.counts.counts(pieces) + (span_counts[-known:] if known else [])
         if len(result) <= 4 * BLOCK:
             for b in range(first + 1, last + 1):
                 self._set(b, [], [])
             self._set(first, result, counted)
-        else:  # the block has outgrown the tree: build it anew around the known counts
-            blocks = self.blocks[:first] + [result] + self.blocks[last + 1 :]
-            every = [p for b in blocks for p in b]
-            counts = [c for b in self.block_counts[:first] for c in b] + counted + [c for b in self.block_counts[last + 1 :] for c in b]
-            self._build([every[i : i + BLOCK] for i in range(0, len(every), BLOCK)] or [[]], counts)
+        else:  # the block has outgrown the tree: it is cut, and the sums are added up anew from the blocks' own
+            blocks, block_counts = _cut(result, counted)
+            sums = list(zip(*(v[self.leaves : self.leaves + len(self.blocks)] for v in (self.chars, self.tokens, self.sizes))))
+            sums[first : last + 1] = [_sums(b, c) for b, c in zip(blocks, block_counts)]
+            self.blocks[first : last + 1], self.block_counts[first : last + 1] = blocks, block_counts
+            self._sum(sums)
+
+
+def _cut(pieces: list[str], counts: list[int]) -> tuple[list[list[str]], list[list[int]]]:
+    """Blocks of pieces and of their counts; one empty block for none."""
+    at = range(0, len(pieces), BLOCK)
+    return [pieces[i : i + BLOCK] for i in at] or [[]], [counts[i : i + BLOCK] for i in at] or [[]]
+
+
+def _sums(block: list[str], counts: list[int]) -> tuple[int, int, int]:
+    return sum(map(len, block)), sum(counts), len(block)
 
 
 def count_edits(docs: DataFrame, edits: Column, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """doc_id, n_pretokens, n_tokens, edited_chars, edited_tokens and recounted_chars (split anew by the edits) of each row.
 
-    edits: array of structs (at: int, upto: int, text: string), applied in their order.
+    edits: array of structs (at: int, upto: int, text: string), applied in their order. Ids cross to Python as text, since numbers beside
+    nulls would turn to floats there.
     """
     path, pattern = path or default_path(), pattern or default_pattern()
 
@@ -216,7 +228,9 @@ def count_edits(docs: DataFrame, edits: Column, path: str | None = None, pattern
                 rows.append((doc_id, pieces, tokens, tree.n_chars, tree.n_tokens, tree.work))
             yield pd.DataFrame(rows, columns=["doc_id", "n_pretokens", "n_tokens", "edited_chars", "edited_tokens", "recounted_chars"])
 
-    return docs.select("doc_id", "text", edits.alias("edits")).mapInPandas(run, "doc_id long, n_pretokens long, n_tokens long, edited_chars long, edited_tokens long, recounted_chars long")
+    sent = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", edits.alias("edits"))
+    found = sent.mapInPandas(run, "doc_id string, n_pretokens long, n_tokens long, edited_chars long, edited_tokens long, recounted_chars long")
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def standard_edits() -> Column:

@@ -50,7 +50,7 @@ def test_automaton_is_minimal_and_numbers_its_words(tmp_path):
     rnd = random.Random(1)
     words = sorted({"".join(rnd.choice("abcé") for _ in range(rnd.randrange(1, 7))) for _ in range(500)})
     entries = {w: np.array([i, i + 1], "<u4").tobytes() for i, w in enumerate(words)}
-    bpe.Lexicon.write(str(tmp_path / "l"), entries)
+    (tmp_path / "l").write_bytes(bpe.Lexicon.compile(entries))
     lexicon = bpe.Lexicon(str(tmp_path / "l"))
     assert lexicon.lookup(words) == [entries[w] for w in words]
     assert lexicon.lookup(["", "zz", "a" * 30, words[0] + "~"]) == [None] * 4
@@ -62,7 +62,7 @@ def test_automaton_is_minimal_and_numbers_its_words(tmp_path):
                 alive.add(t)
                 stack.append(t)
     assert len(alive) == 5  # start, t, ta = to, tap = top, taps = tops
-    bpe.Lexicon.write(str(tmp_path / "e"), {})
+    (tmp_path / "e").write_bytes(bpe.Lexicon.compile({}))
     assert bpe.Lexicon(str(tmp_path / "e")).lookup(["a"]) == [None]
 
 
@@ -79,7 +79,7 @@ def test_edit_counts_equal_a_full_recount(spark):
         tree = tokencount.TokenTree(text, counts)
         for _ in range(5):
             a = rnd.randrange(0, len(text) + 3)
-            b, new = a + rnd.choice([0, 0, 1, 2, 5, 30]), "".join(rnd.choice(parts) for _ in range(rnd.choice([0, 1, 2, 5, 40])))
+            b, new = a + rnd.choice([0, 0, 1, 2, 5, 30]), "".join(rnd.choice(parts) for _ in range(rnd.choice([0, 1, 2, 5, 40, 600])))
             tree.edit(a, b, new)
             low = min(a, len(text))
             text = text[:low] + new + text[max(min(b, len(text)), low) :]
@@ -174,6 +174,103 @@ def test_routes_and_dealing_cover_every_variant():
         assert groups(found) == want
 
 
+def brute_lanes(text):
+    """Signed sums of the bits of the trigram hashes of all lines."""
+
+    def hashed(*words):
+        seed = 42
+        for w in words:
+            seed = xxhash.xxh64_intdigest(w.encode(), seed=seed)
+        return seed
+
+    hashes = []
+    for line in (text or "").split("\n"):
+        if line:
+            words = line.split(" ")
+            hashes += [hashed(*words[i : i + 3]) for i in range(len(words) - 2)] if len(words) > 2 else [hashed(" ".join(words), "short")]
+    bits = np.unpackbits(np.array(hashes, ">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64) if hashes else np.zeros(64, np.int64)
+    return 2 * bits - len(hashes)
+
+
+def brute_likeness(a, b):
+    if sorted(p for p in a.split("\n") if p) == sorted(p for p in b.split("\n") if p):
+        return 1.0
+    x, y = brute_lanes(a), brute_lanes(b)
+    norm = float(np.sqrt(float(x @ x) * float(y @ y)))
+    return min(1.0, max(0.0, float(x @ y) / norm)) if norm else 0.0
+
+
+def test_likeness_equals_brute_force(spark):
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(30)]
+    line = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    texts = ["\n".join(line(rnd.randrange(1, 9)) for _ in range(rnd.randrange(1, 12))) for _ in range(25)]
+    texts += ["", "a b c\n" * 45_000 + "tail of another kind", "a b c\n" * 41_000, "one  two\n\n three", texts[0]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in fingerprints.fingerprint_edits(docs).collect()}
+    for i, text in enumerate(texts):
+        following, moved = texts[(i + 1) % len(texts)], len(text) // 4
+        edited = text[: len(text) - moved] + following[:moved]
+        assert abs(got[i]["near_edited"] - brute_likeness(text, edited)) < 1e-9 and abs(got[i]["near_next"] - brute_likeness(text, following)) < 1e-9, i
+
+
+def test_hot_and_null_ids_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "SPAN_ROWS", 20)
+    rows = [(None, f"null {i}") for i in range(200)] + [(7, f"seven {i}") for i in range(200)] + [(i, f"own {i}") for i in range(8, 208)] + [(2**60 + 1, "large")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = docs.select(F.coalesce("doc_id", F.lit(fingerprints._NULL_ID)).alias("id"), F.shiftrightunsigned(F.xxhash64("text"), 1).alias("tie"))
+    spans = ids.withColumn("span", fingerprints.spans_of(ids)).collect()
+    sizes = {}
+    for r in spans:
+        sizes[r["span"]] = sizes.get(r["span"], 0) + 1
+    assert max(sizes.values()) <= 80 and len(sizes) > 15
+    order = sorted(spans, key=lambda r: (r["id"], r["tie"]))
+    assert [r["span"] for r in order] == sorted(r["span"] for r in spans)
+    tie = lambda t: xxhash.xxh64_intdigest(t.encode(), seed=42) >> 1
+    rows.sort(key=lambda r: (r[0] is None, r[0] or 0, tie(r[1])))
+    want = {r: hashlib.sha256((r[1][: len(r[1]) - len(r[1]) // 4] + rows[(i + 1) % len(rows)][1][: len(r[1]) // 4]).encode()).hexdigest() for i, r in enumerate(rows)}
+    got = fingerprints.fingerprint_edits(docs).select("doc_id", "edited_sha256").collect()
+    assert sorted((str(r["doc_id"]), r["edited_sha256"]) for r in got) == sorted((str(d), h) for (d, _), h in want.items())
+
+
+def test_hot_keys_join_alike(spark, monkeypatch):
+    from quillstone.llm import common
+
+    many = spark.range(3000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v")).union(spark.range(4000).select(F.lit(3).alias("k"), F.col("id").alias("v")))
+    one = many.groupBy("k").agg(F.count("*").alias("n"), F.max("v").alias("top")).where("k <> 5")
+    want = sorted(map(tuple, many.join(one, "k").collect()))
+    assert sorted(map(tuple, common.hot_join(many, one, "k", "n", 8).collect())) == want
+    for limit in (64, 40):
+        monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
+        for hot in (1000, 10, 10**6):
+            assert sorted(map(tuple, common.hot_join(many, one, "k", "n", 16, 100, hot).collect())) == want
+
+
+def test_components_of_hubs_and_chains(spark, monkeypatch):
+    from quillstone.llm import common
+
+    rnd = random.Random(4)
+    edges = [(0, i) for i in range(1, 60)] + [(i, i + 1) for i in range(100, 140)] + [(300 - i, 300) for i in range(1, 30)] + [(rnd.randrange(400, 500), rnd.randrange(400, 500)) for _ in range(60)]
+    parent = {}
+
+    def root(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        parent[max(root(a), root(b))] = min(root(a), root(b))
+    frame = spark.createDataFrame(edges, "a long, b long")
+    want = {(x, root(x)) for x in parent if root(x) != x}
+    assert {tuple(r) for r in simhash.components(frame).collect()} == want
+    for module in (common, simhash):
+        monkeypatch.setattr(module, "HOT_ROWS", 10)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 2000)
+    monkeypatch.setattr(common.hot_join, "__defaults__", (None, 10))
+    assert {tuple(r) for r in simhash.components(frame).collect()} == want
+
+
 def test_likeness_of_long_repetitive_texts(spark):
     docs = spark.createDataFrame([(0, "a b c\n" * 40_000), (1, "p q r\n" * 10), (2, "a b c\n" * 20_000)], "doc_id long, text string")
     got = {r["doc_id"]: r for r in fingerprints.fingerprint_edits(docs).collect()}
