@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.plans.pricefacts import ATTRIBUTES, KEY, STAGED, current, price_facts, row_hash, row_id, stage
+from quillstone.plans.pricefacts import ATTRIBUTES, KEY, STAGED, row_hash, row_id, stage
 from quillstone.plans.registry import query
+from quillstone.plans.store import current, prices
 
 HISTORY = ("row_id", "key_hash", *KEY, "dup_seq", *ATTRIBUTES, "row_hash", "first_source_sha256", "effective_from", "effective_to", "is_current", "closed_by_source_sha256", "change_reason")
 T1, T2 = "2026-01-01 00:00:00", "2026-02-01 00:00:00"
@@ -25,26 +26,36 @@ def initial(staged: DataFrame, version: str, moment: str) -> DataFrame:
     }).select(*HISTORY)
 
 
-def changes(history: DataFrame, staged: DataFrame, version: str, moment: str) -> DataFrame:
-    """Closing and inserted rows of a new snapshot, with action close or insert: one full outer join on the key."""
-    cur = history.where("is_current").alias("c")
-    both = cur.join(staged.alias("s"), F.col("c.key_hash") == F.col("s.key_hash"), "full_outer")
+def diff(history: DataFrame, staged: DataFrame, version: str, moment: str, *carry: str) -> DataFrame:
+    """The current rows of a history and the rows of a new snapshot as the history will hold them: HISTORY, carry and action (keep, close, insert).
+
+    One full outer join on the key: a changed key gives its closed and its new row. carry: further columns of history, null for new rows.
+    """
+    both = history.where("is_current").alias("c").join(staged.alias("s"), F.col("c.key_hash") == F.col("s.key_hash"), "full_outer")
     gone, new = F.col("s.key_hash").isNull(), F.col("c.key_hash").isNull()
     differs = gone | new | (F.col("s.row_hash") != F.col("c.row_hash"))
-    touched = both.where(differs)
-    kept = ("row_id", "key_hash", *KEY, "dup_seq", *ATTRIBUTES, "row_hash", "first_source_sha256", "effective_from")
-    closing = touched.where(~new).select(
-        *[F.col(f"c.{c}") for c in kept], at(moment).alias("effective_to"), F.lit(False).alias("is_current"), F.lit(version).alias("closed_by_source_sha256"),
-        F.when(gone, "removed").otherwise("changed").alias("change_reason"),
-    )
-    inserts = initial(touched.where(~gone).select("s.*"), version, moment)
-    return closing.withColumn("action", F.lit("close")).unionByName(inserts.withColumn("action", F.lit("insert")))
+    none = lambda kind: F.lit(None).cast(kind)
+    closing = {
+        "effective_to": F.when(differs, at(moment)), "is_current": ~differs, "closed_by_source_sha256": F.when(differs, F.lit(version)),
+        "change_reason": F.when(gone, "removed").when(differs, "changed"), "action": F.when(differs, "close").otherwise("keep"),
+    }
+    opening = {
+        "row_id": F.md5(F.concat("s.key_hash", F.lit("|" + version)).cast("binary")), "first_source_sha256": F.lit(version), "effective_from": at(moment), "effective_to": none("timestamp_ntz"),
+        "is_current": F.lit(True), "closed_by_source_sha256": none("string"), "change_reason": none("string"), "action": F.lit("insert"),
+    } | {c: none(history.schema[c].dataType) for c in carry}
+    row = lambda side, made: F.struct(*[made.get(c, F.col(f"{side}.{c}")).alias(c) for c in (*HISTORY, *carry, "action")])
+    pair = F.array(F.when(~new, row("c", closing)), F.when(~gone & differs, row("s", opening)))
+    return both.select(F.explode(pair).alias("r")).where("r is not null").select("r.*")
+
+
+def changes(history: DataFrame, staged: DataFrame, version: str, moment: str) -> DataFrame:
+    """Closing and inserted rows of a new snapshot, with action close or insert."""
+    return diff(history, staged, version, moment).where("action <> 'keep'")
 
 
-def merge(history: DataFrame, changed: DataFrame) -> DataFrame:
-    """history after changes: closed rows replaced, inserted rows added, all others as they are."""
-    closed = changed.where("action = 'close'").select("row_id")
-    return history.join(closed, "row_id", "left_anti").select(*HISTORY).unionByName(changed.drop("action"))
+def merge(history: DataFrame, staged: DataFrame, version: str, moment: str) -> DataFrame:
+    """history after a new snapshot: closed rows replaced, new rows added, all others as they are."""
+    return diff(history, staged, version, moment).drop("action").unionByName(history.where("not is_current").select(*HISTORY))
 
 
 def as_of(history: DataFrame, moment: str) -> DataFrame:
@@ -67,44 +78,44 @@ def second_version(staged: DataFrame) -> DataFrame:
 
 
 def both_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    staged = stage(price_facts(spark, sf_dir))
+    staged = current(spark, sf_dir).drop("row_id")
     return initial(staged, "v1", T1), second_version(staged)
 
 
 V2 = STAGED + """,
 part AS (SELECT *, ('0x' || substr(key_hash, 1, 6))::BIGINT % 100 AS p FROM staged),
 kept AS (SELECT * REPLACE (CASE WHEN p < 2 THEN (amount * 1.1)::DECIMAL(14,4) ELSE amount END AS amount) FROM part WHERE p <> 2),
-v2 AS (
+v2 AS MATERIALIZED (
   SELECT * EXCLUDE (p) REPLACE (md5(concat_ws(chr(31), amount::VARCHAR, coalesce(methodology, ''), coalesce(modifiers, ''), coalesce(alt_codes, ''))) AS row_hash) FROM kept
   UNION ALL BY NAME SELECT * EXCLUDE (p) REPLACE (description || ' (new)' AS description, md5(key_hash || 'new') AS key_hash) FROM part WHERE p = 3),
 h1 AS (SELECT *, 'v1' AS first_source_sha256, TIMESTAMP '2026-01-01' AS effective_from FROM cur),
-closing AS (
+closing AS MATERIALIZED (
   SELECT c.row_id, c.key_hash, c.hospital_slug, c.amount, c.effective_from, TIMESTAMP '2026-02-01' AS effective_to, false AS is_current,
     CASE WHEN s.key_hash IS NULL THEN 'removed' ELSE 'changed' END AS change_reason, 'close' AS action
   FROM h1 c LEFT JOIN v2 s ON s.key_hash = c.key_hash WHERE s.key_hash IS NULL OR s.row_hash <> c.row_hash),
-inserts AS (
+inserts AS MATERIALIZED (
   SELECT md5(s.key_hash || '|v2') AS row_id, s.key_hash, s.hospital_slug, s.amount, TIMESTAMP '2026-02-01' AS effective_from, NULL::TIMESTAMP AS effective_to, true AS is_current, NULL::VARCHAR AS change_reason, 'insert' AS action
   FROM v2 s LEFT JOIN h1 c ON s.key_hash = c.key_hash WHERE c.key_hash IS NULL OR c.row_hash <> s.row_hash),
 chg AS (SELECT * FROM closing UNION ALL SELECT * FROM inserts),
 h2 AS (
-  SELECT row_id, key_hash, hospital_slug, amount, effective_from, NULL::TIMESTAMP AS effective_to, true AS is_current, NULL::VARCHAR AS change_reason FROM h1 WHERE row_id NOT IN (SELECT row_id FROM closing)
+  SELECT row_id, key_hash, hospital_slug, amount, effective_from, NULL::TIMESTAMP AS effective_to, true AS is_current, NULL::VARCHAR AS change_reason FROM h1 WHERE NOT EXISTS (SELECT 1 FROM closing c WHERE c.row_id = h1.row_id)
   UNION ALL SELECT * EXCLUDE (action) FROM chg)"""
 SHORT = ("row_id", "key_hash", "hospital_slug", "amount", "effective_from", "effective_to", "is_current", "change_reason")
 
 
 @query("stage_keys", STAGED + " SELECT hospital_slug, description, code, price_type, amount, dup_seq, key_hash, row_hash FROM staged")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(price_facts(spark, sf_dir)).select("hospital_slug", "description", "code", "price_type", "amount", "dup_seq", "key_hash", "row_hash")
+    return stage(prices(spark, sf_dir)).select("hospital_slug", "description", "code", "price_type", "amount", "dup_seq", "key_hash", "row_hash")
 
 
 @query("stage_dup_seq", STAGED + " SELECT dup_seq, count(*)::BIGINT AS n FROM staged GROUP BY dup_seq")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(price_facts(spark, sf_dir)).groupBy("dup_seq").agg(F.count("*").alias("n"))
+    return stage(prices(spark, sf_dir)).groupBy("dup_seq").agg(F.count("*").alias("n"))
 
 
 @query("stage_stats", STAGED + " SELECT (SELECT count(*) FROM price)::BIGINT AS rows_in, count(*)::BIGINT AS staged_rows, ((SELECT count(*) FROM price) - count(*))::BIGINT AS collapsed, count(*) FILTER (dup_seq > 0)::BIGINT AS key_conflicts FROM staged")
 def stage_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = price_facts(spark, sf_dir)
+    facts = prices(spark, sf_dir)
     rows_in = facts.agg(F.count("*").alias("rows_in"))
     staged = stage(facts).agg(F.count("*").alias("staged_rows"), F.count_if(F.col("dup_seq") > 0).alias("key_conflicts"))
     return rows_in.join(staged, how="inner").select("rows_in", "staged_rows", (F.col("rows_in") - F.col("staged_rows")).alias("collapsed"), "key_conflicts")
@@ -142,19 +153,19 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("scd2_merge", V2 + " SELECT * FROM h2")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = both_versions(spark, sf_dir)
-    return merge(first, changes(first, second, "v2", T2)).select(*SHORT)
+    return merge(first, second, "v2", T2).select(*SHORT)
 
 
 @query("scd2_current", V2 + " SELECT row_id, key_hash, amount FROM h2 WHERE is_current")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = both_versions(spark, sf_dir)
-    return merge(first, changes(first, second, "v2", T2)).where("is_current").select("row_id", "key_hash", "amount")
+    return merge(first, second, "v2", T2).where("is_current").select("row_id", "key_hash", "amount")
 
 
 @query("scd2_as_of", V2 + " SELECT row_id, amount FROM h2 WHERE effective_from <= TIMESTAMP '2026-01-15' AND (effective_to IS NULL OR effective_to > TIMESTAMP '2026-01-15')")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = both_versions(spark, sf_dir)
-    return as_of(merge(first, changes(first, second, "v2", T2)), "2026-01-15 00:00:00").select("row_id", "amount")
+    return as_of(merge(first, second, "v2", T2), "2026-01-15 00:00:00").select("row_id", "amount")
 
 
 @query("replace_projection", STAGED + " SELECT * REPLACE ((amount * 2)::DECIMAL(14,4) AS amount) FROM (SELECT key_hash, amount, price_type FROM staged)")

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillstone.functions.matching import ABBREVIATIONS, PREFIXES, UNITS, allowed_outside, code_family, normalize_text
-from quillstone.plans.pricefacts import PRICE, STANDARD_CODES, price_facts, read
+from quillstone.plans.pricefacts import PRICE, STANDARD_CODES, read
 from quillstone.plans.registry import query
+from quillstone.plans.store import prices
 
 REFERENCE_BIT = 1 << 40
 PER_CODE, POOL, NEIGHBOURS, TOP = 6, 25, 60, 10
@@ -80,7 +81,7 @@ def reference_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = top_entries(entries(hospital_items(price_facts(spark, sf_dir)))).withColumn("source", F.lit("hospital"))
+    own = top_entries(entries(hospital_items(prices(spark, sf_dir)))).withColumn("source", F.lit("hospital"))
     return own.unionByName(reference_entries(spark, sf_dir))
 
 
@@ -95,12 +96,12 @@ vocab AS (SELECT *, 'hospital' AS source FROM six UNION ALL SELECT * FROM refs)"
 
 @query("vocab_mask", VOCAB + " SELECT * FROM ent")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entries(hospital_items(price_facts(spark, sf_dir)))
+    return entries(hospital_items(prices(spark, sf_dir)))
 
 
 @query("vocab_top6", VOCAB + " SELECT * FROM six")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_entries(entries(hospital_items(price_facts(spark, sf_dir))))
+    return top_entries(entries(hospital_items(prices(spark, sf_dir))))
 
 
 @query("vocab_union", VOCAB + " SELECT code, text, source FROM vocab")
@@ -134,7 +135,7 @@ best AS (SELECT hospital_slug, text, code, votes FROM (SELECT *, row_number() OV
 
 @query("exact_match_vote", VOCAB + _VOTES + " SELECT * FROM best")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_votes(hospital_items(price_facts(spark, sf_dir)), vocabulary(spark, sf_dir))
+    return exact_votes(hospital_items(prices(spark, sf_dir)), vocabulary(spark, sf_dir))
 
 
 def fuzzy_candidates(asked: DataFrame, vocab: DataFrame, pool: int = POOL) -> DataFrame:
@@ -157,7 +158,7 @@ fz AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY sc
 
 @query("fuzzy_topk", VOCAB + _FUZZY + " SELECT text, found, score, place FROM fz")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fuzzy_candidates(hospital_items(price_facts(spark, sf_dir)), vocabulary(spark, sf_dir)).select("text", "found", "score", "place")
+    return fuzzy_candidates(hospital_items(prices(spark, sf_dir)), vocabulary(spark, sf_dir)).select("text", "found", "score", "place")
 
 
 def fuzzy_match(items: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -179,12 +180,12 @@ fst AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY hospital_slug,
 SELECT i.hospital_slug, i.text, coalesce(b.code, f.code) AS code, CASE WHEN b.code IS NOT NULL THEN 1.0 ELSE coalesce(f.score, 0) END::DOUBLE AS score, CASE WHEN b.code IS NOT NULL THEN 'exact' WHEN f.code IS NOT NULL THEN 'fuzzy' ELSE 'none' END AS method
 FROM (SELECT DISTINCT hospital_slug, text FROM it) i LEFT JOIN best b USING (hospital_slug, text) LEFT JOIN fst f USING (hospital_slug, text)""")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fuzzy_match(hospital_items(price_facts(spark, sf_dir)), vocabulary(spark, sf_dir))
+    return fuzzy_match(hospital_items(prices(spark, sf_dir)), vocabulary(spark, sf_dir))
 
 
 @query("in_vocab", VOCAB + " SELECT DISTINCT hospital_slug, it.code, EXISTS (SELECT 1 FROM vocab v WHERE v.code = it.code AND mask & ~(1::BIGINT << substr(hospital_slug, 2)::INT) <> 0) AS known FROM it")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = hospital_items(price_facts(spark, sf_dir)).select("hospital_slug", "code").distinct()
+    asked = hospital_items(prices(spark, sf_dir)).select("hospital_slug", "code").distinct()
     codes = vocabulary(spark, sf_dir).groupBy("code").agg(F.bit_or("mask").alias("mask"))
     own = hospital_bit(F.col("hospital_slug"))
     return asked.join(codes, "code", "left").select("hospital_slug", "code", F.coalesce(allowed_outside(F.col("mask"), own), F.lit(False)).alias("known"))

@@ -2,22 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstone.operators.history import T2, both_versions, changes, merge
+from quillstone.operators.history import T2, V2, both_versions, merge
 from quillstone.plans.registry import query
+from quillstone.session import shared_dir
 from quillstone.sources.snapshots import SnapshotTable
 
 
-@query("time_travel_version")
+@query("time_travel_version", V2 + " SELECT row_id, key_hash, amount, true AS is_current FROM h1")
 def time_travel_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first version of a history of two, committed to the shared folder."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="versions-")
-    table = SnapshotTable(spark, f"{shared}/versions-{uuid.uuid4().hex}")
+    table = SnapshotTable(spark, f"{shared_dir(spark)}/versions-{uuid.uuid4().hex}")
     first, second = both_versions(spark, sf_dir)
     table.commit("all", first)
-    table.commit("all", merge(table.read(0), changes(table.read(0), second, "v2", T2)))
+    table.commit("all", merge(table.read(0), second, "v2", T2))
     return table.read(0).select("row_id", "key_hash", "amount", "is_current")

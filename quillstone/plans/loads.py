@@ -6,16 +6,21 @@ import csv
 import hashlib
 import io
 import json
+import time
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.operators.gold import report
-from quillstone.operators.history import as_of, changes, initial, merge
+from quillstone.operators.history import HISTORY, as_of, diff, initial
 from quillstone.plans.pricefacts import stage
 from quillstone.sources.snapshots import SnapshotTable
 
-LEDGER_SCHEMA = "slug string, source_sha256 string, mode string, staged_rows bigint, rows_inserted bigint, rows_closed bigint, rows_unchanged bigint, history_version_after bigint"
+LEDGER_SCHEMA = (
+    "slug string, source_sha256 string, loaded_at timestamp, mode string, staged_rows bigint, rows_inserted bigint, rows_closed bigint, rows_unchanged bigint, history_version_after bigint, "
+    "duration_s double, synthetic boolean"
+)
 
 
 class History:
@@ -28,31 +33,36 @@ class History:
     def loads(self) -> DataFrame:
         return self.ledger.read() if self.ledger.version() >= 0 else self.spark.createDataFrame([], LEDGER_SCHEMA)
 
-    def load(self, slug: str, sha: str, facts: DataFrame, moment: str) -> dict:
-        """Load one hospital's whole price list; a (slug, sha) that was loaded before is skipped, an unchanged one makes no version."""
+    def load(self, slug: str, sha: str, facts: DataFrame, moment: str, synthetic: bool = False) -> dict:
+        """Load one hospital's whole price list; a (slug, sha) that was loaded before is skipped, an unchanged one makes no version.
+
+        A merge rewrites only the files that hold a row it closes; new rows go to files of their own.
+        """
         if self.loads().where((F.col("slug") == slug) & (F.col("source_sha256") == sha)).limit(1).count():
             return {"slug": slug, "source_sha256": sha, "mode": "skipped_already_loaded"}
-        staged = stage(facts.where(F.col("hospital_slug") == slug)).persist()
-        try:
-            n = staged.count()
-            known = slug in self.table.files()
-            if not known:
-                counts = {"mode": "initial", "rows_inserted": n, "rows_closed": 0, "rows_unchanged": 0}
-                self.table.commit(slug, initial(staged, sha, moment))
-            else:
-                history = self.table.read(partitions=[slug])
-                changed = changes(history, staged, sha, moment).persist()
-                by = {r["action"]: r["n"] for r in changed.groupBy("action").agg(F.count("*").alias("n")).collect()}
-                inserted, closed = by.get("insert", 0), by.get("close", 0)
-                counts = {"mode": "merge" if by else "noop", "rows_inserted": inserted, "rows_closed": closed, "rows_unchanged": n - inserted}
-                if by:
-                    self.table.commit(slug, merge(history, changed))
-                changed.unpersist()
-        finally:
-            staged.unpersist()
-        record = {"slug": slug, "source_sha256": sha, "staged_rows": n, "history_version_after": self.table.version(), **counts}
-        row = self.spark.createDataFrame([record], LEDGER_SCHEMA)
-        self.ledger.commit("all", row, replace=False)
+        began = time.monotonic()
+        staged = stage(facts.where(F.col("hospital_slug") == slug))
+        files = self.table.files().get(slug)
+        if files is None:
+            rows = initial(staged, sha, moment).persist()
+            n = rows.count()
+            counts = {"mode": "initial", "staged_rows": n, "rows_inserted": n, "rows_closed": 0, "rows_unchanged": 0}
+            self.table.commit(slug, rows)
+        else:
+            history = self.table.read(partitions=[slug]).withColumn("_file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+            rows = diff(history, staged, sha, moment, "_file").persist()
+            by = {r["action"]: r["n"] for r in rows.groupBy("action").agg(F.count("*").alias("n")).collect()}
+            kept, inserted, closed = (by.get(a, 0) for a in ("keep", "insert", "close"))
+            counts = {"mode": "merge" if inserted or closed else "noop", "staged_rows": kept + inserted, "rows_inserted": inserted, "rows_closed": closed, "rows_unchanged": kept}
+            if inserted or closed:
+                touched = {r["_file"] for r in rows.where("action = 'close'").select("_file").distinct().collect()}  # a row a file of one hospital
+                stay = [f for f in files if f.rsplit("/", 1)[1] not in touched]
+                old = history.where("not is_current")
+                again = rows.unionByName(old.withColumn("action", F.lit("old"))).where(F.col("_file").isNull() | F.col("_file").isin(*touched))
+                self.table.commit(slug, again.select(*HISTORY), replace=False, keep=stay)
+        rows.unpersist()
+        record = {"slug": slug, "source_sha256": sha, "loaded_at": datetime.now(timezone.utc), "history_version_after": self.table.version(), "duration_s": round(time.monotonic() - began, 3), "synthetic": synthetic, **counts}
+        self.ledger.commit("all", self.spark.createDataFrame([record], LEDGER_SCHEMA), replace=False)
         return record
 
 

@@ -72,14 +72,9 @@ def row_id(version: str) -> Column:
     return F.md5(F.concat(F.col("key_hash"), F.lit("|" + version)).cast("binary"))
 
 
-def current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staged facts as the current rows of a first load."""
-    return stage(price_facts(spark, sf_dir)).withColumn("row_id", row_id("v1"))
-
-
 #: Oracle: price (all facts), src (distinct), staged and cur (with row_id).
 PRICE = """
-WITH price AS (
+WITH price AS MATERIALIZED (
   SELECT concat('h', cast(s_nationkey AS varchar)) AS hospital_slug, p_name AS description, p_brand AS code,
     CASE WHEN p_type IN ('ECONOMY', 'MEDIUM') THEN 'CPT' WHEN p_type = 'PROMO' THEN 'HCPCS' WHEN p_type = 'STANDARD' THEN 'MS-DRG'
       WHEN p_type = 'SMALL' THEN 'NDC' ELSE 'CDM' END AS code_type,
@@ -99,10 +94,10 @@ src AS (SELECT DISTINCT hospital_slug, description, code, code_type, setting, bi
 keyed AS (
   SELECT *, row_number() OVER (PARTITION BY hospital_slug, description, code, code_type, setting, billing_class, payer, plan, price_type
     ORDER BY amount, coalesce(methodology, ''), coalesce(modifiers, ''), coalesce(alt_codes, '')) - 1 AS dup_seq FROM src),
-staged AS (
+staged AS MATERIALIZED (
   SELECT * EXCLUDE (dup_seq), dup_seq::INT AS dup_seq,
     md5(concat_ws(chr(31), hospital_slug, description, code, code_type, coalesce(setting, ''), coalesce(billing_class, ''), coalesce(payer, ''), coalesce(plan, ''), price_type) || ':' || dup_seq) AS key_hash,
     md5(concat_ws(chr(31), amount::VARCHAR, coalesce(methodology, ''), coalesce(modifiers, ''), coalesce(alt_codes, ''))) AS row_hash
   FROM keyed),
-cur AS (SELECT *, md5(key_hash || '|v1') AS row_id FROM staged)"""
+cur AS MATERIALIZED (SELECT *, md5(key_hash || '|v1') AS row_id FROM staged)"""
 )

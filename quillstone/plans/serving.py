@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillstone.operators import gold
-from quillstone.plans.pricefacts import current
+from quillstone.plans.store import current, current_table
 
 
 class NotFound(LookupError):
@@ -19,7 +19,7 @@ class Serving:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         cur, fact = current(spark, sf_dir), gold.fact_price(spark, sf_dir)
         self.codes = gold.dim_procedure_code(cur).persist()
-        self.spreads = gold.price_spread(fact, cur).persist()
+        self.spreads = gold.price_spread(fact, cur, at_most=current_table(spark, sf_dir).rows()).persist()
         self.hospitals = gold.hospital_quality(spark, sf_dir).persist()
 
     def search(self, text: str, limit: int = 20) -> DataFrame:

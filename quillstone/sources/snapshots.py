@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import json
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 class SnapshotTable:
@@ -39,27 +41,70 @@ class SnapshotTable:
         version = self.version() if version is None else version
         return self._entry(version)["files"] if version >= 0 else {}
 
-    def read(self, version: int | None = None, partitions: list[str] | None = None) -> DataFrame:
-        """The rows of a version (the last), or of some of its partitions: only their files are opened."""
+    def rows(self, version: int | None = None) -> int | None:
+        """Number of rows of a version, if its commit has counted them."""
+        return self._entry(self.version() if version is None else version).get("rows")
+
+    def chosen(self, version: int | None = None, partitions: list[str] | None = None, within: dict[str, list] | None = None) -> tuple[list[str], int]:
+        """The files that can hold rows of the partitions whose columns have one of the values in within, and the number of all files."""
+        entry = self._entry(self.version() if version is None else version)
+        every = [(p, f) for p, group in entry["files"].items() for f in group]
+        ranges = entry.get("ranges", {})
+
+        def may_hold(file: str) -> bool:
+            known = ranges.get(file, {})
+            return all(c not in known or any(known[c][0] <= str(v) <= known[c][1] for v in values) for c, values in (within or {}).items())
+
+        return [f for p, f in every if (partitions is None or p in partitions) and may_hold(f)], len(every)
+
+    def read(self, version: int | None = None, partitions: list[str] | None = None, within: dict[str, list] | None = None) -> DataFrame:
+        """The rows of a version (the last), or only of the files that chosen() names: others are not opened. within prunes files, it filters no rows."""
         version = self.version() if version is None else version
         if version < 0:
             raise ValueError(f"{self.path} has no version")
         entry = self._entry(version)
-        files = [f for p, group in entry["files"].items() if partitions is None or p in partitions for f in group]
-        schema = entry["schema"]
-        return self.spark.read.schema(schema).parquet(*files) if files else self.spark.createDataFrame([], schema)
+        if partitions is None and not within and entry.get("whole"):
+            return self.spark.read.schema(entry["schema"]).option("recursiveFileLookup", "true").parquet(entry["whole"])
+        files, _ = self.chosen(version, partitions, within)
+        return self.spark.read.schema(entry["schema"]).parquet(*files) if files else self.spark.createDataFrame([], entry["schema"])
+
+    def _log_entry(self, version: int, shown: DataFrame, files: dict[str, list[str]], info: dict | None, **more) -> int:
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shown.schema.fields)
+        self._create(self._log(version), json.dumps({"version": version, "schema": schema, "files": files, "info": info or {}, **more}))
+        return version
+
+    def commit_table(self, rows: DataFrame, by: str, sort: str, info: dict | None = None) -> int:
+        """A new version that holds just rows: a partition a value of by (text), files in ranges of (by, sort), and for each file its range of sort (text).
+
+        Ranges split a partition of many rows over tasks; a reader that asks for values of sort opens only files whose range holds one.
+        """
+        now, folder = self.version(), f"{self.path}/data/{uuid.uuid4().hex}"
+        ranged = rows.withColumn("_part", F.col(by)).repartitionByRange(by, sort).sortWithinPartitions(by, sort)
+        ranged.write.partitionBy("_part").option("compression", "zstd").parquet(folder)
+        place = lambda path: F.regexp_extract(path, "_part=([^/]*)/([^/]+)$", 0)
+        held = self.spark.read.schema(rows.schema).option("recursiveFileLookup", "true").parquet(folder)
+        stats = held.groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"), F.min(F.col(sort).cast("string")).alias("low"), F.max(F.col(sort).cast("string")).alias("high"))
+        files: dict[str, list[str]] = {}
+        ranges: dict[str, dict[str, list[str]]] = {}
+        total = 0
+        for r in stats.select(place("file").alias("place"), "n", "low", "high").collect():  # a row a file
+            path = f"{folder}/{unquote(r['place'])}"
+            files.setdefault(unquote(unquote(r["place"]).split("/")[0].removeprefix("_part=")), []).append(path)
+            total += r["n"]
+            if r["low"] is not None:
+                ranges[path] = {sort: [r["low"], r["high"]]}
+        return self._log_entry(now + 1, rows, files, info, ranges=ranges, whole=folder, rows=total)
 
-    def commit(self, partition: str, rows: DataFrame, replace: bool = True, info: dict | None = None) -> int:
-        """A new version in which partition holds rows (beside its old files, unless replace)."""
+    def commit(self, partition: str, rows: DataFrame, replace: bool = True, info: dict | None = None, keep: list[str] | None = None) -> int:
+        """A new version in which partition holds rows, beside its old files unless replace, or beside those of them in keep."""
         now = self.version()
         folder = f"{self.path}/data/{uuid.uuid4().hex}"
         rows.write.option("compression", "zstd").parquet(folder)
         new = [s.getPath().toString() for s in self._fs.listStatus(self._path(folder)) if s.getPath().getName().endswith(".parquet")]
         files = dict(self.files(now))
-        files[partition] = new if replace else [*files.get(partition, []), *new]
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-        self._create(self._log(now + 1), json.dumps({"version": now + 1, "schema": schema, "files": files, "info": info or {}}))
-        return now + 1
+        files[partition] = [*([] if replace else files.get(partition, []) if keep is None else keep), *new]
+        ranges = {f: r for f, r in (self._entry(now).get("ranges", {}) if now >= 0 else {}).items() if any(f in group for group in files.values())}
+        return self._log_entry(now + 1, rows, files, info, ranges=ranges)
 
     def _create(self, path: str, text: str) -> None:
         """Write a file that must not exist yet: it appears whole, by a rename, or not at all."""
