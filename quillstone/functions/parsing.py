@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,31 +20,45 @@ SETTINGS = ("inpatient", "outpatient", "both")
 BILLING_CLASSES = ("facility", "professional", "both")
 
 
+#: White space of any kind, as Unicode has it, with the separators 0x1c to 0x1f.
+SPACE = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Decimal digits of all scripts, and what each is worth.
+_DIGITS = [c for c in map(chr, range(128, 0x20000)) if c.isdecimal()]
+
+
 def amount_text(raw: Column) -> Column:
-    """raw without currency signs, thousands separators, white space (ASCII) and digit-group underscores."""
-    return F.replace(F.regexp_replace(raw, r"[,$\s]", ""), F.lit("_"), F.lit(""))
+    """raw without currency signs, thousands separators and white space."""
+    return F.regexp_replace(raw, rf"[,${SPACE}]", "")
+
+
+def number_text(text: Column) -> Column:
+    """text without digit-group underscores, with digits of any script as 0-9; only text that is not ASCII is translated."""
+    plain = F.replace(text, F.lit("_"), F.lit(""))
+    digits = F.translate(plain, "".join(_DIGITS), "".join(str(unicodedata.decimal(c)) for c in _DIGITS))
+    return F.when(plain.rlike(r"[^\x00-\x7f]"), digits).otherwise(plain)
 
 
 def amount_reason(raw: Column, limit: float = AMOUNT_MAX) -> Column:
     """Why raw is no amount: null for an amount and for a blank cell, which is no error."""
     text = amount_text(raw)
-    value = text.try_cast("double")
+    number = number_text(text)
+    value, exact = number.try_cast("double"), number.try_cast("decimal(38,18)")
     blank = raw.isNull() | (text == "") | F.lower(text).isin("null", "none")
     return (
-        F.when(blank, F.lit(None).cast("string")).when(~text.rlike(NUMBER), "non_numeric_amount").when(value <= 0, "non_positive_amount")
-        .when(value > limit, "above_plausible_max").when(_quantized(text) <= 0, "non_positive_amount")
+        F.when(blank, F.lit(None).cast("string")).when(~number.rlike(NUMBER), "non_numeric_amount").when(value <= 0, "non_positive_amount")
+        .when(F.coalesce(exact > F.lit(limit).cast("decimal(38,18)"), value > limit), "above_plausible_max").when(_quantized(number) <= 0, "non_positive_amount")
     )
 
 
-def _quantized(text: Column) -> Column:
+def _quantized(number: Column) -> Column:
     """Four decimals, half to even."""
-    return F.bround(text.try_cast("decimal(38,18)"), 4).cast("decimal(14,4)")
+    return F.bround(number.try_cast("decimal(38,18)"), 4).cast("decimal(14,4)")
 
 
 def amount_value(raw: Column, limit: float = AMOUNT_MAX) -> Column:
     """The amount with four decimals, half to even; null for blanks and rejects."""
-    text = amount_text(raw)
-    return F.when(amount_reason(raw, limit).isNull() & text.rlike(NUMBER), _quantized(text))
+    number = number_text(amount_text(raw))
+    return F.when(amount_reason(raw, limit).isNull() & number.rlike(NUMBER), _quantized(number))
 
 
 def code_type(raw: Column) -> Column:

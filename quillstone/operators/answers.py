@@ -53,5 +53,12 @@ def ask(items: DataFrame, model: Callable[[str, list[str] | None], str], paralle
                 rows.append((item_id, code, confidence, used))
             yield pd.DataFrame(rows, columns=["item_id", "llm_code", "llm_conf", "attempts"])
 
-    fresh = todo.select("item_id", "text", F.col("candidates")).repartition(parallel).mapInPandas(run, ANSWER_SCHEMA)
+    # ids cross to Python as text, since numbers beside nulls would turn to floats there
+    sent = todo.select(F.col("item_id").cast("string").alias("item_id"), "text", "candidates").repartition(parallel)
+    fresh = sent.mapInPandas(run, ANSWER_SCHEMA.replace("item_id long", "item_id string")).withColumn("item_id", F.col("item_id").cast("long"))
     return fresh if known is None else known.select("item_id", "llm_code", "llm_conf", "attempts").unionByName(fresh)
+
+
+def with_answers(items: DataFrame, answers: DataFrame) -> DataFrame:
+    """items with llm_code and llm_conf of their answers; null for items that were not asked."""
+    return items.join(answers.select("item_id", "llm_code", "llm_conf"), "item_id", "left")

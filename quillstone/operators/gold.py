@@ -303,8 +303,14 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 per AS (SELECT code, hospital_slug, round(median(amount::DOUBLE), 6) AS price FROM fact JOIN dimh USING (hospital_slug) WHERE price_type = 'cash' AND amount > 0 AND NOT coalesce(is_flagged, false) GROUP BY ALL)
 SELECT code, count(*)::BIGINT AS hospitals, min(price) AS lowest, round(median(price), 6) AS median, max(price) AS highest, first(hospital_slug ORDER BY price, hospital_slug) AS cheapest, first(hospital_slug ORDER BY price DESC, hospital_slug DESC) AS dearest FROM per GROUP BY code""")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fact_price(spark, sf_dir).where((F.col("price_type") == "cash") & (F.col("amount") > 0) & ~F.coalesce("is_flagged", F.lit(False)))
-    per = rows.join(registry(spark, sf_dir).select("hospital_slug"), "hospital_slug").groupBy("code", "hospital_slug").agg(F.round(median(F.col("amount").cast("double")), 6).alias("price"))
+    return cash_spread(fact_price(spark, sf_dir), registry(spark, sf_dir))
+
+
+def cash_spread(facts: DataFrame, hospitals: DataFrame, state: str | None = None) -> DataFrame:
+    """Spread of each code's unflagged cash price, a median a hospital, over the hospitals of a state or of all."""
+    hospitals = hospitals if state is None else hospitals.where(F.col("state") == state)
+    rows = facts.where((F.col("price_type") == "cash") & (F.col("amount") > 0) & ~F.coalesce("is_flagged", F.lit(False)))
+    per = rows.join(hospitals.select("hospital_slug"), "hospital_slug").groupBy("code", "hospital_slug").agg(F.round(median(F.col("amount").cast("double")), 6).alias("price"))
     ends = F.struct("price", "hospital_slug")
     return per.groupBy("code").agg(F.count("*").alias("hospitals"), F.min("price").alias("lowest"), F.round(median("price"), 6).alias("median"), F.max("price").alias("highest"), F.min(ends)["hospital_slug"].alias("cheapest"), F.max(ends)["hospital_slug"].alias("dearest"))
 

@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillstone.functions.matching import ABBREVIATIONS, PREFIXES, UNITS, allowed_outside, code_family, normalize_text
+from quillstone.functions.wratio import Scorer
 from quillstone.plans.pricefacts import PRICE, STANDARD_CODES, read
 from quillstone.plans.registry import query
 from quillstone.plans.store import prices
 
 REFERENCE_BIT = 1 << 40
+#: Texts that a task scores at once: asked ones, and ones of the vocabulary.
+ASKED_BLOCK, VOCABULARY_BLOCK = 16, 50_000
+# Codes that stand for many unlike items.
+CATCH_ALL = ("J3490", "J8499", "J9999", "J7999", "C1713", "C1776", "C1769", "C1725", "C1876", "C1889", "C1887", "C1767", "C1781", "C1789", "C1768", "C2617", "V2632", "V2787", "V2788", "A4649")
 PER_CODE, POOL, NEIGHBOURS, TOP = 6, 25, 60, 10
 TARGET, GRID, SUPPORT = 0.95, (0.7, 0.75, 0.8, 0.85, 0.9, 0.92, 0.95, 0.97, 1.0), 30
 #: Bytes up to which a search's query side is sent to every task.
@@ -55,8 +64,10 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hospital_bit(slug: Column) -> Column:
-    """1 shifted by the hospital's number, here the one in its name."""
-    return F.pow(F.lit(2.0), F.substring(slug, 2, 9).cast("int")).cast("long")
+    """1 shifted by the hospital's number, here the one in its name; bit 40 is that of the references, so numbers from 40 on are one higher. 62 hospitals fit."""
+    number = F.substring(slug, 2, 9).cast("int")
+    place = F.when(number < 40, number).when(number < 62, number + 1).otherwise(F.raise_error(F.lit("a mask has room for 62 hospitals")).cast("int"))
+    return F.pow(F.lit(2.0), place).cast("long")
 
 
 def hospital_items(facts: DataFrame) -> DataFrame:
@@ -138,20 +149,53 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_votes(hospital_items(prices(spark, sf_dir)), vocabulary(spark, sf_dir))
 
 
+def in_blocks(rows: DataFrame, asked: DataFrame, key: str, row_bytes: int) -> DataFrame:
+    """Every row of rows beside every row of asked, a stated query set: asked is broadcast if its counted rows are few.
+
+    Else it is dealt out by a salt of key, so that no task holds it whole.
+    """
+    n = asked.count()
+    if n * row_bytes <= QUERY_BYTES:
+        return rows.join(F.broadcast(asked))
+    blocks = max(1, n * row_bytes // QUERY_BYTES)
+    spread = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    return spread.join(asked.withColumn("block", F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")), "block").drop("block")
+
+
 def fuzzy_candidates(asked: DataFrame, vocab: DataFrame, pool: int = POOL) -> DataFrame:
-    """The pool best vocabulary texts of each asked text by Levenshtein ratio, among those that share a word with it."""
-    words = lambda df: df.withColumn("word", F.explode(F.array_distinct(F.split("text", " "))))
-    left, right = words(asked.select("text").distinct()), words(vocab.select(F.col("text").alias("found")).distinct().withColumnRenamed("found", "text"))
-    pairs = left.join(right.withColumnRenamed("text", "found"), "word").select("text", "found").distinct()
+    """The pool best texts of the whole vocabulary for each asked text by Levenshtein ratio; each task's rows are cut to pool a text before the ranks are compared."""
+    pairs = in_blocks(vocab.select(F.col("text").alias("found")).distinct(), asked.select("text").distinct(), "text", 256)
     longest = F.greatest(F.length("text"), F.length("found"))
-    scored = pairs.withColumn("score", F.round(1 - F.levenshtein("text", "found") / longest, 6))
+    scored = pairs.select("text", "found", F.round(1 - F.levenshtein("text", "found") / longest, 6).alias("score"))
+    order = Window.partitionBy("text").orderBy(F.desc("score"), "found")
+    return scored.withColumn("place", F.row_number().over(order)).where(F.col("place") <= pool)
+
+
+def composite_candidates(asked: DataFrame, vocab: DataFrame, pool: int = POOL) -> DataFrame:
+    """As fuzzy_candidates, by the composite ratio (0 to 1) of functions.wratio; blocks of asked texts meet blocks of the vocabulary, one pair of blocks a task."""
+    texts, found = asked.select("text").distinct(), vocab.select(F.col("text").alias("found")).distinct()
+    parts, blocks = max(1, texts.count() // ASKED_BLOCK), 1 + found.count() // VOCABULARY_BLOCK
+    dealt = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = texts.withColumn("part", dealt("text", parts)).withColumn("block", every(blocks)).groupBy("part", "block")
+    right = found.withColumn("block", dealt("found", blocks)).withColumn("part", every(parts)).groupBy("part", "block")
+
+    def score(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        names = sorted(theirs["found"])
+        scorer, rows = Scorer(names), []
+        for text in mine["text"]:
+            scores = np.round(scorer.scores(text) / 100, 6)
+            best = np.lexsort((np.arange(len(names)), -scores))[:pool]
+            rows += [(text, names[i], float(scores[i])) for i in best]
+        return pd.DataFrame(rows, columns=["text", "found", "score"])
+
+    scored = left.cogroup(right).applyInPandas(score, "text string, found string, score double")
     order = Window.partitionBy("text").orderBy(F.desc("score"), "found")
     return scored.withColumn("place", F.row_number().over(order)).where(F.col("place") <= pool)
 
 
 _FUZZY = """,
-w1 AS (SELECT DISTINCT text, unnest(string_split(text, ' ')) AS word FROM it), w2 AS (SELECT DISTINCT text AS found, unnest(string_split(text, ' ')) AS word FROM vocab),
-prs AS (SELECT DISTINCT text, found FROM w1 JOIN w2 USING (word)),
+prs AS (SELECT text, found FROM (SELECT DISTINCT text FROM it) CROSS JOIN (SELECT DISTINCT text AS found FROM vocab)),
 scored AS (SELECT text, found, round(1 - levenshtein(text, found)::DOUBLE / greatest(length(text), length(found)), 6) AS score FROM prs),
 fz AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY score DESC, found)::INT AS place FROM scored) WHERE place <= 25)"""
 
@@ -161,11 +205,11 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_candidates(hospital_items(prices(spark, sf_dir)), vocabulary(spark, sf_dir)).select("text", "found", "score", "place")
 
 
-def fuzzy_match(items: DataFrame, vocab: DataFrame) -> DataFrame:
-    """hospital_slug, text, code, score and method: an exact vote, else the first allowed of the pool, else none."""
+def fuzzy_match(items: DataFrame, vocab: DataFrame, candidates: Callable[[DataFrame, DataFrame], DataFrame] = fuzzy_candidates) -> DataFrame:
+    """hospital_slug, text, code, score and method: an exact vote, else the first allowed of the candidates, else none."""
     asked = items.select("hospital_slug", "text").distinct()
     exact = exact_votes(items, vocab).select("hospital_slug", "text", F.col("code").alias("exact_code"))
-    near = fuzzy_candidates(items, vocab).join(vocab.select(F.col("text").alias("found"), "code", "mask"), "found")
+    near = candidates(items, vocab).join(vocab.select(F.col("text").alias("found"), "code", "mask"), "found")
     allowed = asked.join(near, "text").where(allowed_outside(F.col("mask"), hospital_bit(F.col("hospital_slug"))))
     first = allowed.groupBy("hospital_slug", "text").agg(F.min(F.struct("place", "code", "score")).alias("f"))
     joined = asked.join(exact, ["hospital_slug", "text"], "left").join(first, ["hospital_slug", "text"], "left")
@@ -183,6 +227,16 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_match(hospital_items(prices(spark, sf_dir)), vocabulary(spark, sf_dir))
 
 
+@query("composite_topk")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return composite_candidates(hospital_items(prices(spark, sf_dir)), vocabulary(spark, sf_dir)).select("text", "found", "score", "place")
+
+
+@query("match_composite")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_match(hospital_items(prices(spark, sf_dir)), vocabulary(spark, sf_dir), composite_candidates)
+
+
 @query("in_vocab", VOCAB + " SELECT DISTINCT hospital_slug, it.code, EXISTS (SELECT 1 FROM vocab v WHERE v.code = it.code AND mask & ~(1::BIGINT << substr(hospital_slug, 2)::INT) <> 0) AS known FROM it")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = hospital_items(prices(spark, sf_dir)).select("hospital_slug", "code").distinct()
@@ -201,16 +255,11 @@ def nearest(vectors: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     The stated query set meets all rows in blocks. Its size is checked; a larger one is dealt out by a salt instead of broadcast, so that
     no task holds it whole. Each task's rows are cut to k a query before the ranks are compared.
     """
-    n = asked.count()
     normed = vectors.withColumn("norm", F.sqrt(dot("embedding", "embedding"))).where("norm > 0")
     asked = asked.withColumn("query_norm", F.sqrt(dot("query", "query"))).where("query_norm > 0")
-    if n * 1024 <= QUERY_BYTES:
-        pairs = normed.join(F.broadcast(asked))
-    else:
-        blocks = max(1, n * 1024 // QUERY_BYTES)
-        spread = normed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        pairs = spread.join(asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")), "block")
-    scored = pairs.select("query_id", "vec_id", "label", F.round(dot("query", "embedding") / (F.col("norm") * F.col("query_norm")), 6).alias("sim"))
+    pairs = in_blocks(normed, asked, "query_id", 1024)
+    kept = [c for c in ("mask", "own") if c in pairs.columns]
+    scored = pairs.select("query_id", "vec_id", "label", *kept, F.round(dot("query", "embedding") / (F.col("norm") * F.col("query_norm")), 6).alias("sim"))
     order = Window.partitionBy("query_id").orderBy(F.desc("sim"), "vec_id")
     return scored.where("query_id <> vec_id").withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
 
@@ -231,13 +280,24 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, queries_of(vectors), TOP)
 
 
-@query("embedding_topk_by_label", SIMS + """, l AS (SELECT query_id, label, max(sim) AS sim FROM r WHERE place <= 60 AND label <> 0 GROUP BY ALL)
+def match_vectors(vectors: DataFrame, asked: DataFrame, k: int = NEIGHBOURS, top: int = TOP) -> DataFrame:
+    """query_id, label, sim, place: the best labels of the k nearest vectors that are known outside the query's own hospital.
+
+    vectors also has mask, the bits of the hospitals that an entry is known from, and asked has own, the query's bit (0: anything is allowed).
+    """
+    allowed = nearest(vectors, asked, k).where(allowed_outside(F.col("mask"), F.col("own")))  # cut to the neighbours first, then to what is allowed
+    best = allowed.groupBy("query_id", "label").agg(F.max("sim").alias("sim"))
+    return best.withColumn("place", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("sim"), "label"))).where(F.col("place") <= top)
+
+
+@query("embedding_topk_by_label", SIMS + """,
+l AS (SELECT query_id, label, max(sim) AS sim FROM r WHERE place <= 60 AND ((1::BIGINT << (vec_id % 4)) | CASE WHEN vec_id % 3 = 0 THEN 16 ELSE 0 END) & ~(1::BIGINT << (query_id // 100 % 4)) <> 0 GROUP BY ALL)
 SELECT query_id, label, sim, place FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, label)::INT AS place FROM l) WHERE place <= 10""")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings")
-    allowed = nearest(vectors, queries_of(vectors), NEIGHBOURS).where("label <> 0")  # cut to the neighbours first, then to what is allowed
-    best = allowed.groupBy("query_id", "label").agg(F.max("sim").alias("sim"))
-    return best.withColumn("place", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("sim"), "label"))).where(F.col("place") <= TOP)
+    bit = lambda n: F.pow(F.lit(2.0), n).cast("long")
+    known = vectors.withColumn("mask", bit(F.col("vec_id") % 4).bitwiseOR(F.when(F.col("vec_id") % 3 == 0, 16).otherwise(0).cast("long")))
+    return match_vectors(known, queries_of(vectors).withColumn("own", bit(F.floor(F.col("query_id") / 100) % 4)))
 
 
 def scored_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,6 +341,31 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answered.groupBy("tier").agg(F.count("*").alias("items"), right.alias("p")).select("tier", "items", F.when(F.col("tier") != "human_review", F.col("p")).alias("precision"))
 
 
+def annotated(items: DataFrame, catch_all: tuple[str, ...] = CATCH_ALL, suspects: Column | None = None) -> DataFrame:
+    """items with catch_all (its code stands for many unlike items) and suspect (its label is doubted)."""
+    return items.withColumns({"catch_all": F.coalesce(F.col("code").isin(*catch_all), F.lit(False)), "suspect": F.lit(False) if suspects is None else F.coalesce(suspects, F.lit(False))})
+
+
+def tier_report(answered: DataFrame) -> DataFrame:
+    """subset, n, answered, precision (of what is answered) and recall (of all) of annotated answers: all, without suspects, specific and catch-all codes."""
+    subsets = {"all": F.lit(True), "excl_suspect": ~F.col("suspect"), "specific_codes": ~F.col("suspect") & ~F.col("catch_all"), "catch_all_codes": F.col("catch_all")}
+    rows = answered.withColumn("subset", F.explode(F.array(*[F.when(c, name) for name, c in subsets.items()]))).where("subset is not null")
+    given = F.col("tier") != "human_review"
+    right = given & F.coalesce(F.col("pred") == F.col("code"), F.lit(False))
+    return rows.groupBy("subset").agg(
+        F.count("*").alias("n"), F.count_if(given).alias("answered"), F.round(F.avg(F.when(given, right.cast("int"))), 6).alias("precision"), F.round(F.avg(right.cast("int")), 6).alias("recall")
+    )
+
+
+@query("tier_report", SCORED + """,
+a AS (SELECT *, code IN ('Brand#11', 'Brand#12') AS catch_all, p_partkey % 50 = 0 AS suspect, tier <> 'human_review' AS given, (pred IS NOT DISTINCT FROM code AND tier <> 'human_review')::INT AS hit FROM answers),
+s AS (SELECT 'all' AS subset, * FROM a UNION ALL SELECT 'excl_suspect', * FROM a WHERE NOT suspect UNION ALL SELECT 'specific_codes', * FROM a WHERE NOT suspect AND NOT catch_all UNION ALL SELECT 'catch_all_codes', * FROM a WHERE catch_all)
+SELECT subset, count(*)::BIGINT AS n, count(*) FILTER (given)::BIGINT AS answered, round(avg(hit) FILTER (given), 6) AS precision, round(avg(hit), 6) AS recall FROM s GROUP BY subset""")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = annotated(scored_items(spark, sf_dir), ("Brand#11", "Brand#12"), F.col("p_partkey") % 50 == 0)
+    return tier_report(assign_tiers(items, 0.92, 0.95))
+
+
 def threshold_table(items: DataFrame, code: str, score: str) -> DataFrame:
     """threshold, n and precision at each step of the grid."""
     steps = items.withColumn("threshold", F.explode(F.array(*map(F.lit, GRID)))).where(F.col(score) >= F.col("threshold"))
@@ -292,16 +377,31 @@ def calibrate(items: DataFrame, code: str, score: str, target: float = TARGET, s
     return threshold_table(items, code, score).where((F.col("n") >= support) & (F.col("precision") >= target)).agg(F.min("threshold")).first()[0]
 
 
+STAGES = {"exact_fuzzy": ("a_code", "a_score"), "embedding": ("b_code", "b_sim")}
+
+
+def calibrate_in_order(items: DataFrame, order: tuple[str, ...]) -> dict[str, float | None]:
+    """The threshold of each stage, on what the stages before leave."""
+    found: dict[str, float | None] = {}
+    for name in order:
+        code, score = STAGES[name]
+        found[name] = calibrate(items, code, score)
+        items = items if found[name] is None else items.where(F.col(score) < found[name])
+    return found
+
+
 @query("threshold_calibration", SCORED + """,
 grid(threshold) AS (SELECT unnest([0.7, 0.75, 0.8, 0.85, 0.9, 0.92, 0.95, 0.97, 1.0]::DOUBLE[])),
 a AS (SELECT threshold, count(*) AS n, avg((a_code = code)::INT) AS p FROM items JOIN grid ON a_score >= threshold GROUP BY 1), ta AS (SELECT min(threshold) AS t FROM a WHERE n >= 30 AND p >= 0.95),
-rest AS (SELECT * FROM items, ta WHERE t IS NULL OR a_score < t), b AS (SELECT threshold, count(*) AS n, avg((b_code = code)::INT) AS p FROM rest JOIN grid ON b_sim >= threshold GROUP BY 1)
-SELECT 'exact_fuzzy' AS tier, (SELECT t FROM ta) AS threshold UNION ALL SELECT 'embedding', (SELECT min(threshold) FROM b WHERE n >= 30 AND p >= 0.95)""")
+rest AS (SELECT * FROM items, ta WHERE t IS NULL OR a_score < t), b AS (SELECT threshold, count(*) AS n, avg((b_code = code)::INT) AS p FROM rest JOIN grid ON b_sim >= threshold GROUP BY 1),
+c AS (SELECT threshold, count(*) AS n, avg((b_code = code)::INT) AS p FROM items JOIN grid ON b_sim >= threshold GROUP BY 1), tc AS (SELECT min(threshold) AS t FROM c WHERE n >= 30 AND p >= 0.95),
+rest2 AS (SELECT * FROM items, tc WHERE t IS NULL OR b_sim < t), d AS (SELECT threshold, count(*) AS n, avg((a_code = code)::INT) AS p FROM rest2 JOIN grid ON a_score >= threshold GROUP BY 1)
+SELECT 'exact_fuzzy' AS first, 'exact_fuzzy' AS tier, (SELECT t FROM ta) AS threshold UNION ALL SELECT 'exact_fuzzy', 'embedding', (SELECT min(threshold) FROM b WHERE n >= 30 AND p >= 0.95)
+UNION ALL SELECT 'embedding', 'embedding', (SELECT t FROM tc) UNION ALL SELECT 'embedding', 'exact_fuzzy', (SELECT min(threshold) FROM d WHERE n >= 30 AND p >= 0.95)""")
 def threshold_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = scored_items(spark, sf_dir)
-    first = calibrate(items, "a_code", "a_score")
-    second = calibrate(items if first is None else items.where(F.col("a_score") < first), "b_code", "b_sim")
-    return spark.createDataFrame([("exact_fuzzy", first), ("embedding", second)], "tier string, threshold double")
+    rows = [(order[0], name, t) for order in (("exact_fuzzy", "embedding"), ("embedding", "exact_fuzzy")) for name, t in calibrate_in_order(items, order).items()]
+    return spark.createDataFrame(rows, "first string, tier string, threshold double")
 
 
 def seeded_order(key: str, seed: str) -> Column:

@@ -121,27 +121,57 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts(manifest(spark, sf_dir), registry(spark, sf_dir))
 
 
-METRICS = ("run_id", "stage", "slug", "rows_in", "rows_out", "rows_rejected", "duration_s", "outcome")
+METRICS = ("run_id", "stage", "slug", "started_at", "rows_in", "rows_out", "rows_rejected", "duration_s", "outcome", "est_cost_usd", "detail")
 
 
-def run_metrics(fetches: DataFrame, parses: DataFrame, loads: DataFrame) -> DataFrame:
-    """The stages' logs in one table."""
-    return fetches.select(*METRICS).unionByName(parses.select(*METRICS)).unionByName(loads.select(*METRICS))
+def _metric(log: DataFrame, stage: Column | str, **columns: Column | str | int | float) -> DataFrame:
+    kinds = {"rows_in": "long", "rows_out": "long", "rows_rejected": "long", "duration_s": "double", "est_cost_usd": "double"}
+    given = {"stage": F.lit(stage) if isinstance(stage, str) else stage, "rows_in": F.lit(0), "rows_out": F.lit(0), "rows_rejected": F.lit(0), "est_cost_usd": F.lit(0.0), "detail": F.lit("")} | columns
+    return log.select(*[F.coalesce(given[c] if isinstance(given[c], Column) else F.col(given[c]), F.lit("" if c not in kinds else 0)).cast(kinds.get(c, "string")).alias(c) for c in METRICS])
+
+
+def fetch_metrics(manifest: DataFrame) -> DataFrame:
+    """Of a manifest: slug, fetched_at, duration_s, outcome, error."""
+    return _metric(manifest, "bronze_download", run_id=F.concat_ws("-", F.lit("bronze"), "slug", "fetched_at"), slug="slug", started_at="fetched_at", duration_s="duration_s", outcome=F.coalesce("outcome", F.lit("unknown")), detail=F.substring("error", 1, 200))
+
+
+def parse_metrics(runs: DataFrame) -> DataFrame:
+    """Of a run log: slug, sha256, at, source_rows_in, rows_out, rejects, duration_s, outcome, reject_reasons."""
+    return _metric(runs, "silver_parse", run_id=F.concat_ws("-", F.lit("silver"), "slug", F.substring("sha256", 1, 12)), slug="slug", started_at="at", rows_in="source_rows_in", rows_out="rows_out", rows_rejected="rejects", duration_s="duration_s", outcome="outcome", detail=F.substring(F.to_json("reject_reasons"), 1, 200))
+
+
+def load_metrics(ledger: DataFrame) -> DataFrame:
+    """Of the history's ledger."""
+    closed = F.concat(F.lit("closed="), F.col("rows_closed").cast("string"), F.lit(" synthetic="), F.col("synthetic").cast("string"))
+    return _metric(ledger, "history_load", run_id=F.concat_ws("-", F.lit("history"), "slug", F.substring("source_sha256", 1, 12)), slug="slug", started_at=F.col("loaded_at").cast("string"), rows_in="staged_rows", rows_out=F.col("rows_inserted") + F.col("rows_unchanged"), duration_s="duration_s", outcome="mode", detail=closed)
+
+
+def check_metrics(results: DataFrame) -> DataFrame:
+    """Of models and data checks that have run: kind (model, test), name, at, duration_s, status, message."""
+    return _metric(results, F.concat(F.lit("dbt_"), F.col("kind")), run_id=F.concat_ws("-", F.lit("dbt"), "name", "at"), slug="name", started_at="at", duration_s="duration_s", outcome="status", detail=F.substring("message", 1, 200))
+
+
+def run_metrics(fetches: DataFrame, parses: DataFrame, loads: DataFrame, results: DataFrame) -> DataFrame:
+    """The logs of the four stages as one table (METRICS)."""
+    return fetch_metrics(fetches).unionByName(parse_metrics(parses)).unionByName(load_metrics(loads)).unionByName(check_metrics(results))
 
 
 @query("run_metrics", LOG + """, m AS (
-  SELECT 'fetch-' || event_id AS run_id, 'fetch' AS stage, slug, 0::BIGINT AS rows_in, 0::BIGINT AS rows_out, 0::BIGINT AS rows_rejected, 0.5::DOUBLE AS duration_s, outcome FROM log
-  UNION ALL SELECT 'parse-' || n_nationkey, 'parse', 'h' || n_nationkey, 1000 + n_nationkey * 7, 1000, n_nationkey * 7, 2.0, CASE WHEN n_nationkey * 7 > 100 THEN 'quarantined' ELSE 'promoted' END FROM nation
-  UNION ALL SELECT 'load-' || n_nationkey, 'load', 'h' || n_nationkey, 1000, 990, 0, 1.25, 'merge' FROM nation)
-SELECT stage, outcome, count(*)::BIGINT AS runs, sum(rows_out)::BIGINT AS rows_out, sum(rows_rejected)::BIGINT AS rows_rejected, round(sum(duration_s), 3) AS duration_s FROM m GROUP BY ALL""")
+  SELECT 'bronze-' || slug || '-' || event_id AS run_id, 'bronze_download' AS stage, slug, event_id::VARCHAR AS started_at, 0::BIGINT AS rows_in, 0::BIGINT AS rows_out, 0::BIGINT AS rows_rejected, 0.5::DOUBLE AS duration_s, outcome, CASE outcome WHEN 'failed' THEN repeat('x', 200) ELSE '' END AS detail FROM log
+  UNION ALL SELECT 'silver-h' || n_nationkey || '-' || substr(md5(n_name), 1, 12), 'silver_parse', 'h' || n_nationkey, '2026-01-01', 1000 + n_nationkey * 7, 1000, n_nationkey * 7, 2.0, CASE WHEN n_nationkey * 7 > 100 THEN 'quarantined' ELSE 'promoted' END, '{"ragged_row":' || n_nationkey || '}' FROM nation
+  UNION ALL SELECT 'history-h' || n_nationkey || '-' || substr(md5(n_name), 1, 12), 'history_load', 'h' || n_nationkey, '2026-02-01 00:00:00', 1000, 990, 0, 1.25, 'merge', 'closed=' || n_nationkey || ' synthetic=false' FROM nation
+  UNION ALL SELECT 'dbt-' || r_name || '-2026-03-01', 'dbt_' || CASE WHEN r_regionkey < 2 THEN 'model' ELSE 'test' END, r_name, '2026-03-01', 0, 0, 0, 0.25, CASE r_regionkey WHEN 3 THEN 'warn' ELSE 'pass' END, '' FROM region)
+SELECT run_id, stage, slug, started_at, rows_in, rows_out, rows_rejected, duration_s, outcome, 0.0::DOUBLE AS est_cost_usd, detail FROM m""")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    zero, reg = F.lit(0).cast("long"), registry(spark, sf_dir).withColumn("k", F.substring("hospital_slug", 2, 9))
-    fetches = manifest(spark, sf_dir).select(F.concat(F.lit("fetch-"), F.col("event_id").cast("string")).alias("run_id"), F.lit("fetch").alias("stage"), "slug", zero.alias("rows_in"), zero.alias("rows_out"), zero.alias("rows_rejected"), F.lit(0.5).alias("duration_s"), "outcome")
+    fetches = manifest(spark, sf_dir).select("slug", F.col("event_id").cast("string").alias("fetched_at"), F.lit(0.5).alias("duration_s"), "outcome", F.when(F.col("outcome") == "failed", F.repeat(F.lit("x"), F.lit(250))).alias("error"))
+    k, sha = F.substring("hospital_slug", 2, 9).cast("int"), F.md5(F.col("hospital_name").cast("binary"))
+    reg = registry(spark, sf_dir).select("*", k.alias("k"), sha.alias("sha256"), F.col("hospital_slug").alias("slug"))
     done = F.when(F.col("rejects") > 100, "quarantined").otherwise("promoted")
-    parses = reg.select(F.concat(F.lit("parse-"), "k").alias("run_id"), F.lit("parse").alias("stage"), F.col("hospital_slug").alias("slug"), (F.col("rows_out") + F.col("rejects")).alias("rows_in"), "rows_out", F.col("rejects").alias("rows_rejected"), F.lit(2.0).alias("duration_s"), done.alias("outcome"))
-    loads = reg.select(F.concat(F.lit("load-"), "k").alias("run_id"), F.lit("load").alias("stage"), F.col("hospital_slug").alias("slug"), F.col("rows_out").alias("rows_in"), (F.col("rows_out") - 10).alias("rows_out"), zero.alias("rows_rejected"), F.lit(1.25).alias("duration_s"), F.lit("merge").alias("outcome"))
-    every = run_metrics(fetches, parses, loads)
-    return every.groupBy("stage", "outcome").agg(F.count("*").alias("runs"), F.sum("rows_out").alias("rows_out"), F.sum("rows_rejected").alias("rows_rejected"), F.round(F.sum("duration_s"), 3).alias("duration_s"))
+    parses = reg.select("slug", "sha256", F.lit("2026-01-01").alias("at"), (F.col("rows_out") + F.col("rejects")).alias("source_rows_in"), "rows_out", "rejects", F.lit(2.0).alias("duration_s"), done.alias("outcome"), F.create_map(F.lit("ragged_row"), F.col("k").cast("long")).alias("reject_reasons"))
+    loads = reg.select("slug", F.col("sha256").alias("source_sha256"), F.lit("2026-02-01").cast("timestamp").alias("loaded_at"), F.lit("merge").alias("mode"), F.col("rows_out").alias("staged_rows"), F.lit(90).alias("rows_inserted"), F.lit(900).alias("rows_unchanged"), F.col("k").alias("rows_closed"), F.lit(1.25).alias("duration_s"), F.lit(False).alias("synthetic"))
+    r = F.col("r_regionkey")
+    results = read(spark, sf_dir, "region").select(F.when(r < 2, "model").otherwise("test").alias("kind"), F.col("r_name").alias("name"), F.lit("2026-03-01").alias("at"), F.lit(0.25).alias("duration_s"), F.when(r == 3, "warn").otherwise("pass").alias("status"), F.lit(None).cast("string").alias("message"))
+    return run_metrics(fetches, parses, loads, results)
 
 
 @query("filter_pushdown", "SELECT l_orderkey, l_extendedprice FROM lineitem WHERE l_shipdate < TIMESTAMP '1996-01-01' AND l_returnflag = 'R' AND l_quantity > 20")

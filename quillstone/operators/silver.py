@@ -29,18 +29,19 @@ def priced(cells: DataFrame, limit: float = parsing.AMOUNT_MAX) -> DataFrame:
 def raw_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells of every kind out of lineitem: prices, currency text, blanks and junk."""
     price = F.col("l_extendedprice").cast("decimal(14,2)").cast("string")
-    k = (F.col("l_orderkey") + F.col("l_linenumber")) % 9
-    raw = F.when(k == 0, F.concat(F.lit("$"), price)).when(k == 1, "").when(k == 2, "N/A").when(k == 3, "-4").when(k == 4, "1e12").when(k == 5, " 1,234.50 ").when(k == 6, "null").when(k == 7, F.lit(None)).otherwise(price)
+    k = (F.col("l_orderkey") + F.col("l_linenumber")) % 13
+    raw = F.when(k == 0, F.concat(F.lit("$"), price)).when(k == 1, "").when(k == 2, "N/A").when(k == 3, "-4").when(k == 4, "1e12").when(k == 5, " 1,234.50 ").when(k == 6, "null").when(k == 7, F.lit(None)).when(k == 8, "_").when(k == 9, "_null").when(k == 10, "1_0\u00a05").when(k == 11, "\u0661\u0662").otherwise(price)
     return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", raw.alias("raw"))
 
 
 RAW = """
 WITH cells AS (
-  SELECT l_orderkey, l_linenumber, CASE (l_orderkey + l_linenumber) % 9 WHEN 0 THEN '$' || l_extendedprice::DECIMAL(14,2) WHEN 1 THEN '' WHEN 2 THEN 'N/A' WHEN 3 THEN '-4' WHEN 4 THEN '1e12'
-    WHEN 5 THEN ' 1,234.50 ' WHEN 6 THEN 'null' WHEN 7 THEN NULL ELSE (l_extendedprice::DECIMAL(14,2))::VARCHAR END AS raw FROM lineitem),
-texts AS (SELECT *, replace(regexp_replace(raw, '[,$\\s]', '', 'g'), '_', '') AS t FROM cells),
+  SELECT l_orderkey, l_linenumber, CASE (l_orderkey + l_linenumber) % 13 WHEN 0 THEN '$' || l_extendedprice::DECIMAL(14,2) WHEN 1 THEN '' WHEN 2 THEN 'N/A' WHEN 3 THEN '-4' WHEN 4 THEN '1e12'
+    WHEN 5 THEN ' 1,234.50 ' WHEN 6 THEN 'null' WHEN 7 THEN NULL WHEN 8 THEN '_' WHEN 9 THEN '_null' WHEN 10 THEN '1_0' || chr(160) || '5' WHEN 11 THEN chr(1633) || chr(1634) ELSE (l_extendedprice::DECIMAL(14,2))::VARCHAR END AS raw FROM lineitem),
+stripped AS (SELECT *, regexp_replace(raw, '[,$\\s' || chr(160) || ']', '', 'g') AS bare FROM cells),
+texts AS (SELECT *, translate(replace(bare, '_', ''), chr(1632) || chr(1633) || chr(1634) || chr(1635), '0123') AS t FROM stripped),
 parsed AS (
-  SELECT *, CASE WHEN raw IS NULL OR t = '' OR lower(t) IN ('null', 'none') THEN NULL WHEN NOT regexp_matches(t, '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$') THEN 'non_numeric_amount'
+  SELECT *, CASE WHEN raw IS NULL OR bare = '' OR lower(bare) IN ('null', 'none') THEN NULL WHEN NOT regexp_matches(t, '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$') THEN 'non_numeric_amount'
     WHEN try_cast(t AS DOUBLE) <= 0 THEN 'non_positive_amount' WHEN try_cast(t AS DOUBLE) > 100000000 THEN 'above_plausible_max' END AS reason FROM texts),
 amounts AS (SELECT *, CASE WHEN reason IS NULL THEN try_cast(t AS DECIMAL(14,4)) END AS amount FROM parsed)"""
 
@@ -137,15 +138,17 @@ ITEM_SCHEMA = f"description string, billing_class string, code_information array
 
 
 def flatten_items(items: DataFrame, *keys: str) -> DataFrame:
-    """keys, item fields and one row a price cell (payer, plan, price_type, raw, methodology) of nested items."""
-    charged = items.select(*keys, "description", "code_information", F.col("billing_class").alias("item_class"), F.explode("standard_charges").alias("c"))
+    """keys, item fields and one row a price cell (payer, plan, price_type, raw, methodology, non_dollar) of nested items; first_charge marks an item's first."""
+    charged = items.select(*keys, "description", "code_information", F.col("billing_class").alias("item_class"), F.posexplode("standard_charges").alias("n", "c"))
     own_class = F.coalesce(F.nullif("c.billing_class", F.lit("")), F.col("item_class"))
     text = lambda v: v.cast("string")
-    cell = lambda payer, plan, kind, raw, how: F.struct(text(payer).alias("payer"), text(plan).alias("plan"), F.lit(kind).alias("price_type"), text(raw).alias("raw"), text(how).alias("methodology"))
+    cell = lambda payer, plan, kind, raw, how, other=F.lit(False): F.struct(text(payer).alias("payer"), text(plan).alias("plan"), F.lit(kind).alias("price_type"), text(raw).alias("raw"), text(how).alias("methodology"), other.alias("non_dollar"))
+    given = lambda c: F.coalesce(c, F.lit("")) != ""
     none = F.lit(None)
     generic = F.array(*[cell(none, none, k, F.col(f"c.{c}"), none) for k, c in GENERIC.items()])
-    paid = F.transform(F.coalesce("c.payers_information", F.array().cast(CHARGES.split("payers_information: ")[1][:-2])), lambda p: cell(p["payer_name"], p["plan_name"], "negotiated", p["standard_charge_dollar"], p["methodology"]))
-    return charged.select(*keys, "description", "code_information", F.col("c.setting").alias("setting"), own_class.alias("billing_class"), F.explode(F.concat(generic, paid)).alias("cell")).select(*keys, "description", "code_information", "setting", "billing_class", "cell.*")
+    paid = F.transform(F.coalesce("c.payers_information", F.array().cast(CHARGES.split("payers_information: ")[1][:-2])), lambda p: cell(p["payer_name"], p["plan_name"], "negotiated", p["standard_charge_dollar"], p["methodology"], given(p["standard_charge_percentage"]) | given(p["standard_charge_algorithm"])))
+    cells = charged.select(*keys, "description", "code_information", F.col("c.setting").alias("setting"), own_class.alias("billing_class"), (F.col("n") == 0).alias("first_charge"), F.explode(F.concat(generic, paid)).alias("cell"))
+    return cells.select(*keys, "description", "code_information", "setting", "billing_class", "first_charge", "cell.*")
 
 
 @query("json_nested_flatten", """

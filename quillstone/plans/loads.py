@@ -92,3 +92,13 @@ def reproduce(table: SnapshotTable, record: dict) -> bool:
     p = record["params"]
     _, again = run_report(table, tuple(p["codes"]), tuple(p["price_types"]), record["history_version"], p["moment"])
     return again["output_sha256"] == record["output_sha256"]
+
+
+def store_quality(spark: SparkSession, path: str, scores: DataFrame) -> int:
+    """Append quality rows to the log of all runs; its version."""
+    return SnapshotTable(spark, f"{path}/quality").commit("all", scores, replace=False)
+
+
+def store_metrics(spark: SparkSession, path: str, metrics: DataFrame) -> int:
+    """Replace the consolidated run metrics, which are a view of the logs; the table's version."""
+    return SnapshotTable(spark, f"{path}/run_metrics").commit("all", metrics)

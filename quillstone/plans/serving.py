@@ -22,6 +22,13 @@ class Serving:
         self.spreads = gold.price_spread(fact, cur, at_most=current_table(spark, sf_dir).rows()).persist()
         self.hospitals = gold.hospital_quality(spark, sf_dir).persist()
 
+    def views(self, spark: SparkSession) -> list[str]:
+        """Temporary views of what is served, for SQL clients of the session."""
+        named = {"procedure_codes": self.codes, "price_spreads": self.spreads, "hospital_quality": self.hospitals}
+        for name, rows in named.items():
+            rows.createOrReplaceTempView(name)
+        return list(named)
+
     def search(self, text: str, limit: int = 20) -> DataFrame:
         if len(text) < 2:
             raise ValueError("q needs two characters")

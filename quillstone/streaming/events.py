@@ -41,7 +41,8 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, **options: str) ->
     source = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", "earliest")
     for k, v in options.items():
         source = source.option(k, v)
-    return source.load().select(parsed(F.col("value")).alias("e")).select("e.*")
+    # a batch's events are handed over on the driver, so their number is bounded
+    return source.option("maxOffsetsPerTrigger", options.get("maxOffsetsPerTrigger", str(FILES_PER_BATCH))).load().select(parsed(F.col("value")).alias("e")).select("e.*")
 
 
 def latest_events(batch: DataFrame) -> DataFrame:
@@ -51,8 +52,14 @@ def latest_events(batch: DataFrame) -> DataFrame:
     return last.select("slug", "sha256", "e.*")
 
 
-def start(events: DataFrame, reprocess: Callable[[str, str], tuple[str, str]], results: str, checkpoint: str) -> StreamingQuery:
-    """Reprocess each micro-batch's files, append (event, result) to results, and end when no events are left.
+def to_kafka(events: DataFrame, servers: str, topic: str) -> None:
+    """Announce events (EVENT_SCHEMA) on a topic, keyed by slug; needs the connector's jar on the class path."""
+    rows = events.select(F.col("slug").alias("key"), F.to_json(F.struct(*[c.split(" ")[0] for c in EVENT_SCHEMA.split(", ")])).alias("value"))
+    rows.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+
+
+def start(events: DataFrame, reprocess: Callable[[str, str], tuple[str, str]], results: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Reprocess each micro-batch's files, append (event, result) to results, and end when no events are left; with every (an interval), go on until stopped.
 
     reprocess(slug, sha256) returns (result, detail); an exception becomes the result 'error', so one bad file does not stop the stream. A
     batch has FILES_PER_BATCH events at most, so its rows are handed over on the driver, which starts the Spark jobs that do the work.
@@ -70,4 +77,4 @@ def start(events: DataFrame, reprocess: Callable[[str, str], tuple[str, str]], r
         if rows:
             batch.sparkSession.createDataFrame(rows, RESULT_SCHEMA).write.mode("overwrite").parquet(f"{results}/batch={batch_id}")
 
-    return events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(**({"availableNow": True} if every is None else {"processingTime": every})).start()
