@@ -159,10 +159,10 @@ class _Files:
 def ingest(spark: SparkSession, path: str, contract: Contract, sha: str, out: str) -> Outcome:
     """Parse a file into out/rows and out/rejects; a file that breaks its contract, or has no row or too many rejects, leaves nothing.
 
-    What has been promoted whole is marked by out/_PROMOTED, written last; such a file is not parsed again (skipped_already_done).
+    What has been promoted whole is marked by out/promoted.json, written last; such a file is not parsed again (skipped_already_done).
     """
     files = _Files(spark)
-    if (done := files.read(f"{out}/_PROMOTED")) is not None:
+    if (done := files.read(f"{out}/promoted.json")) is not None:
         return Outcome(**json.loads(done) | {"outcome": "skipped_already_done"})
     if layout_of(path) == "json":
         found = profiles(spark, [path]).first().asDict()
@@ -187,7 +187,7 @@ def ingest(spark: SparkSession, path: str, contract: Contract, sha: str, out: st
         canonical(parsed).write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/rows")
         rejected(parsed).write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/rejects")
         done = Outcome("promoted", [], warnings, rows, rejects, reasons, counters)
-        files.write(f"{out}/_PROMOTED", json.dumps(asdict(done)))
+        files.write(f"{out}/promoted.json", json.dumps(asdict(done)))
         return done
     finally:
         parsed.unpersist()

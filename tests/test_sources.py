@@ -2,7 +2,7 @@
 
 import os
 
-from quillstone.operators.answers import ask, parse_answer
+from quillstone.operators.answers import ask, parse_answer, with_answers
 from quillstone.sources.bronze import fetch_all, file_name, read_manifest
 
 
@@ -55,4 +55,8 @@ def test_answers(spark):
     items = spark.createDataFrame([(1, "a", ["x", "y"]), (2, "b", None), (3, "broken", None), (4, "c", None)], "item_id long, text string, candidates array<string>")
     known = spark.createDataFrame([(4, "old", "high", 1)], "item_id long, llm_code string, llm_conf string, attempts int")
     got = {r["item_id"]: tuple(r)[1:] for r in ask(items, model, 2, known).collect()}
+    odd = spark.createDataFrame([(2**60 + 1, "a", None), (None, "b", None)], "item_id long, text string, candidates array<string>").coalesce(1)
+    asked = ask(odd, model, 1)
+    assert sorted(str(r["item_id"]) for r in asked.collect()) == sorted([str(2**60 + 1), "None"])
+    assert {r["llm_code"] for r in with_answers(items, ask(items, model, 2)).collect()} == {"x", "b", None, "c"}
     assert got == {1: ("x", "high", 1), 2: ("b", "high", 1), 3: (None, "low", 12), 4: ("old", "high", 1)}
