@@ -16,8 +16,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: A side of a join is broadcast only if its counted rows times a row's bound stay under this many bytes.
 BROADCAST_BYTES = 32 << 20
 
-#: A key of more rows than this is hot: a join sends the rows that it meets to every task instead of dealing by the key.
-HOT_ROWS = 200_000
+#: A key of more rows than this is hot: a join sends the rows that it meets to every task instead of dealing by the key. A side of up to
+#: WHOLE_BYTES is sent whole, without a look at its keys.
+HOT_ROWS, WHOLE_BYTES = 200_000, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -54,11 +55,11 @@ def hot_join(many: DataFrame, one: DataFrame, key: str, weight: str, row_bytes:
     one is broadcast whole if its rows are few: counted here, unless at_most rows are known to be. Else its hot keys are (there are rows /
     hot_rows of them at most; that is checked too) and the others are shuffled, so that no task gets more than hot_rows rows of one key.
     """
-    if at_most is not None and at_most * row_bytes <= BROADCAST_BYTES:
+    if at_most is not None and at_most * row_bytes <= WHOLE_BYTES:
         return many.join(F.broadcast(one), key)
     one = cut(one)
     size = one.agg(F.count("*").alias("n"), F.count_if(F.col(weight) > hot_rows).alias("hot")).first()
-    if size["n"] * row_bytes <= BROADCAST_BYTES:
+    if size["n"] * row_bytes <= WHOLE_BYTES:
         return many.join(F.broadcast(one), key)
     if not size["hot"]:
         return many.join(one, key)

@@ -242,6 +242,7 @@ def test_hot_keys_join_alike(spark, monkeypatch):
     assert sorted(map(tuple, common.hot_join(many, one, "k", "n", 8).collect())) == want
     for limit in (64, 40):
         monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
+        monkeypatch.setattr(common, "WHOLE_BYTES", limit)
         for hot in (1000, 10, 10**6):
             assert sorted(map(tuple, common.hot_join(many, one, "k", "n", 16, 100, hot).collect())) == want
 
@@ -267,6 +268,7 @@ def test_components_of_hubs_and_chains(spark, monkeypatch):
     for module in (common, simhash):
         monkeypatch.setattr(module, "HOT_ROWS", 10)
     monkeypatch.setattr(common, "BROADCAST_BYTES", 2000)
+    monkeypatch.setattr(common, "WHOLE_BYTES", 2000)
     monkeypatch.setattr(common.hot_join, "__defaults__", (None, 10))
     assert {tuple(r) for r in simhash.components(frame).collect()} == want
 
