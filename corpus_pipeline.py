@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; a driver writes it as Parquet and reads it again as the next
 stage's docs. All but the last return the columns of documents. Every stage works on all rows that it is given.
+
+Defined results: null, empty and letterless texts go in the first stage; a null doc_id is in no training sample and can't name a group of
+near-duplicates, so its row stays a group's member that is never dropped; rows that repeat a doc_id are one document to the second stage; a null
+source is a source of its own, the last; texts of any length are read whole; an empty table gives an empty result; further columns of
+documents, whatever their names, are carried up to the last stage, which returns doc_id, n_tokens and two digests.
 """
 
 from __future__ import annotations
