@@ -145,7 +145,11 @@ class _Files:
     def read(self, path: str) -> str | None:
         if not self._store(path).exists(self.path(path)):
             return None
-        return self.spark.read.text(path, wholetext=True).first()[0]
+        stream = self._store(path).open(self.path(path))
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
 
     def write(self, path: str, text: str) -> None:
         out = self._store(path).create(self.path(path), True)

@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_ENTRIES: dict[str, dict] = {}
+
+
 class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
@@ -33,8 +36,18 @@ class SnapshotTable:
         return max([int(s.getPath().getName()[:8]) for s in self._fs.listStatus(folder) if s.getPath().getName().endswith(".json")], default=-1)
 
     def _entry(self, version: int) -> dict:
-        lines = self.spark.read.text(self._log(version), wholetext=True).first()
-        return json.loads(lines[0])
+        """A version's log; log files never change, so each is read once."""
+        path = self._log(version)
+        if path not in _ENTRIES:
+            stream = self._fs.open(self._path(path))
+            try:
+                text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            if len(_ENTRIES) >= 256:
+                _ENTRIES.clear()
+            _ENTRIES[path] = json.loads(text)
+        return _ENTRIES[path]
 
     def files(self, version: int | None = None) -> dict[str, list[str]]:
         """Live files of a version by partition."""

@@ -3,6 +3,7 @@
 import os
 
 from quillstone.operators.answers import ask, parse_answer, with_answers
+from quillstone.plans.reports import phase_reports, write_gold_fixture
 from quillstone.sources.bronze import fetch_all, file_name, read_manifest
 
 
@@ -60,3 +61,15 @@ def test_answers(spark):
     assert sorted(str(r["item_id"]) for r in asked.collect()) == sorted([str(2**60 + 1), "None"])
     assert {r["llm_code"] for r in with_answers(items, ask(items, model, 2)).collect()} == {"x", "b", None, "c"}
     assert got == {1: ("x", "high", 1), 2: ("b", "high", 1), 3: (None, "low", 12), 4: ("old", "high", 1)}
+
+
+def test_reports_of_the_phases(spark, tmp_path):
+    manifest = spark.createDataFrame([("h", "stored", 10), ("h", "failed", 0), ("g", "unchanged_duplicate", 7)], "slug string, outcome string, size_bytes long")
+    runs = spark.createDataFrame([("h", 90, 10, 1.5)], "slug string, rows_out long, rejects long, duration_s double")
+    ledger = spark.createDataFrame([("h", 5, 2, 83, 0.5), ("h", 1, 1, 89, 0.5)], "slug string, rows_inserted long, rows_closed long, rows_unchanged long, duration_s double")
+    text = phase_reports(manifest, runs, ledger)
+    assert "sources 2, fetches 3, failures 1, stored_bytes 10" in text and "| h | 90 | 10 | 1.5 | 0.1 |" in text and "| h | 2 | 6 | 3 | 172 | 1.0 |" in text
+    made = write_gold_fixture(spark, str(tmp_path / "gold"))
+    assert made == {"prices": 36, "quality": 3, "flags": 36, "registry": 3}
+    prices = spark.read.parquet(str(tmp_path / "gold" / "prices"))
+    assert prices.select("hospital_slug", "code", "payer").distinct().count() == 36 and prices.where("payer is null").count() == 12
