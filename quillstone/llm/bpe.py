@@ -11,7 +11,7 @@ every worker maps it into memory. Words outside the lexicon are merged exactly,
 
 Defined results: a null text is empty, with no ids and an empty decoded text; a text of any length, also of one word, is encoded whole;
 a null or very large doc_id stays as it is; repeated rows give repeated results; an empty table has an empty lexicon and result; other
-columns are not read.
+columns are not read. What is a letter is known for all code points up to Unicode 15.1; later ones may be split otherwise than by the library.
 """
 
 from __future__ import annotations

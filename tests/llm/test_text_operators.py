@@ -40,8 +40,8 @@ def test_bpe_equals_the_library(spark):
 @given(st.text(max_size=60))
 def test_bpe_of_any_text(text):
     library = test_bpe_of_any_text.__dict__.setdefault("library", Tokenizer.from_file(bpe.default_path()))
-    if unicodedata.category(max(text, default="a")) == "Cn":
-        return  # letters of newer Unicode versions than the libraries share
+    if any(unicodedata.category(c) == "Cn" for c in text):
+        return  # code points of newer Unicode versions than the libraries share
     own = bpe.Encoder(bpe.tokenizer(bpe.default_path()), None).encode([text])[0]
     assert np.frombuffer(own, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
