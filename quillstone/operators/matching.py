@@ -419,6 +419,31 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").where(F.length("p_name") >= 8).withColumn("rn", F.row_number().over(order)).where("rn <= 12").select("p_partkey", "p_type")
 
 
+QUOTAS = {"cpt_numeric": 25, "ms_drg": 20, "drug_J": 15, "device_or_other_hcpcs": 10, "other": 5}
+
+
+def stratified_items(items: DataFrame, quotas: dict[str, int], seed: str) -> DataFrame:
+    """Of the distinct (hospital_slug, text) of items, each with its first family, as many a family as its quota, by a seeded hash."""
+    distinct = items.groupBy("hospital_slug", "text").agg(F.min("family").alias("family"))
+    order = Window.partitionBy("family").orderBy(F.md5(F.concat_ws("|", "hospital_slug", "text", F.lit(seed)).cast("binary")), "hospital_slug", "text")
+    quota = F.lit(0)
+    for family, n in quotas.items():
+        quota = F.when(F.col("family") == family, n).otherwise(quota)
+    return distinct.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= quota).drop("rn")
+
+
+@query("stratified_families", RAW + f""",
+n AS (SELECT * FROM {normalized_sql('raw', 'raw', 'p_partkey')}),
+d AS (SELECT 'h' || (p_partkey % 25) AS hospital_slug, text, min(CASE p_partkey % 6 WHEN 0 THEN 'cpt_numeric' WHEN 1 THEN 'ms_drg' WHEN 2 THEN 'drug_J' WHEN 3 THEN 'device_or_other_hcpcs' ELSE 'other' END) AS family FROM n GROUP BY 1, 2)
+SELECT hospital_slug, text, family FROM (SELECT *, row_number() OVER (PARTITION BY family ORDER BY md5(hospital_slug || '|' || text || '|dev'), hospital_slug, text) AS rn FROM d)
+WHERE rn <= CASE family WHEN 'cpt_numeric' THEN 25 WHEN 'ms_drg' THEN 20 WHEN 'drug_J' THEN 15 WHEN 'device_or_other_hcpcs' THEN 10 ELSE 5 END""")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey")
+    code = F.when(k % 6 == 0, "99213").when(k % 6 == 1, "470").when(k % 6 == 2, " j1885").when(k % 6 == 3, "C1713").when(k % 6 == 4, "ZZ")
+    items = read(spark, sf_dir, "part").select(F.concat(F.lit("h"), (k % 25).cast("string")).alias("hospital_slug"), normalize_text(raw_text()).alias("text"), code_family(code).alias("family"))
+    return stratified_items(items, QUOTAS, "dev")
+
+
 @query("exclude_train_ids", "SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT p_partkey FROM part ORDER BY md5(p_partkey || 'train'), p_partkey LIMIT 50)")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read(spark, sf_dir, "part").select("p_partkey")
