@@ -26,10 +26,11 @@ def initial(staged: DataFrame, version: str, moment: str) -> DataFrame:
     }).select(*HISTORY)
 
 
-def diff(history: DataFrame, staged: DataFrame, version: str, moment: str, *carry: str) -> DataFrame:
-    """The current rows of a history and the rows of a new snapshot as the history will hold them: HISTORY, carry and action (keep, close, insert).
+def diff(history: DataFrame, staged: DataFrame, version: str, moment: str, *carry: str, columns: tuple[str, ...] = HISTORY) -> DataFrame:
+    """The current rows of a history and the rows of a new snapshot as the history will hold them: columns, carry and action (keep, close, insert).
 
     One full outer join on the key: a changed key gives its closed and its new row. carry: further columns of history, null for new rows.
+    columns: those of HISTORY that are asked for; others that the comparison doesn't need are not shuffled.
     """
     both = history.where("is_current").alias("c").join(staged.alias("s"), F.col("c.key_hash") == F.col("s.key_hash"), "full_outer")
     gone, new = F.col("s.key_hash").isNull(), F.col("c.key_hash").isNull()
@@ -43,7 +44,7 @@ def diff(history: DataFrame, staged: DataFrame, version: str, moment: str, *carr
         "row_id": F.md5(F.concat("s.key_hash", F.lit("|" + version)).cast("binary")), "first_source_sha256": F.lit(version), "effective_from": at(moment), "effective_to": none("timestamp_ntz"),
         "is_current": F.lit(True), "closed_by_source_sha256": none("string"), "change_reason": none("string"), "action": F.lit("insert"),
     } | {c: none(history.schema[c].dataType) for c in carry}
-    row = lambda side, made: F.struct(*[made.get(c, F.col(f"{side}.{c}")).alias(c) for c in (*HISTORY, *carry, "action")])
+    row = lambda side, made: F.struct(*[made.get(c, F.col(f"{side}.{c}")).alias(c) for c in (*columns, *carry, "action")])
     pair = F.array(F.when(~new, row("c", closing)), F.when(~gone & differs, row("s", opening)))
     return both.select(F.explode(pair).alias("r")).where("r is not null").select("r.*")
 
@@ -53,9 +54,9 @@ def changes(history: DataFrame, staged: DataFrame, version: str, moment: str) ->
     return diff(history, staged, version, moment).where("action <> 'keep'")
 
 
-def merge(history: DataFrame, staged: DataFrame, version: str, moment: str) -> DataFrame:
-    """history after a new snapshot: closed rows replaced, new rows added, all others as they are."""
-    return diff(history, staged, version, moment).drop("action").unionByName(history.where("not is_current").select(*HISTORY))
+def merge(history: DataFrame, staged: DataFrame, version: str, moment: str, columns: tuple[str, ...] = HISTORY) -> DataFrame:
+    """columns of history after a new snapshot: closed rows replaced, new rows added, all others as they are."""
+    return diff(history, staged, version, moment, columns=columns).drop("action").unionByName(history.where("not is_current").select(*columns))
 
 
 def as_of(history: DataFrame, moment: str) -> DataFrame:
@@ -159,7 +160,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("scd2_current", V2 + " SELECT row_id, key_hash, amount FROM h2 WHERE is_current")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = both_versions(spark, sf_dir)
-    return merge(first, second, "v2", T2).where("is_current").select("row_id", "key_hash", "amount")
+    return merge(first, second, "v2", T2, ("row_id", "key_hash", "amount", "is_current")).where("is_current").drop("is_current")
 
 
 @query("scd2_as_of", V2 + " SELECT row_id, amount FROM h2 WHERE effective_from <= TIMESTAMP '2026-01-15' AND (effective_to IS NULL OR effective_to > TIMESTAMP '2026-01-15')")

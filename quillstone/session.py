@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -39,3 +41,15 @@ def shared_dir(spark: SparkSession) -> str:
         _TEMPORARY[app] = tempfile.mkdtemp(prefix="shared-")
         atexit.register(shutil.rmtree, _TEMPORARY[app], ignore_errors=True)
     return _TEMPORARY[app]
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within, a query's shuffle files go when it ends; else they stay until the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

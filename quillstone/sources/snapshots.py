@@ -14,6 +14,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillstone.session import freed_shuffles
 
 _ENTRIES: dict[str, dict] = {}
 
@@ -93,7 +94,8 @@ class SnapshotTable:
         """
         now, folder = self.version(), f"{self.path}/data/{uuid.uuid4().hex}"
         ranged = rows.withColumn("_part", F.col(by)).repartitionByRange(by, sort).sortWithinPartitions(by, sort)
-        ranged.write.partitionBy("_part").option("compression", "zstd").parquet(folder)
+        with freed_shuffles(self.spark):
+            ranged.write.partitionBy("_part").option("compression", "zstd").parquet(folder)
         place = lambda path: F.regexp_extract(path, "_part=([^/]*)/([^/]+)$", 0)
         held = self.spark.read.schema(rows.schema).option("recursiveFileLookup", "true").parquet(folder)
         stats = held.groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"), F.min(F.col(sort).cast("string")).alias("low"), F.max(F.col(sort).cast("string")).alias("high"))

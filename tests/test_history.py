@@ -1,13 +1,22 @@
 """SCD2 loads, versions and pinned reports."""
 
 import random
+import time
 from decimal import Decimal
+from pathlib import Path
 
+import duckdb
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 import pytest
 
-from quillstone.operators.history import as_of, initial
+from quillstone.operators.history import T2, as_of, initial, merge
+from quillstone.plans import store
 from quillstone.plans.loads import History, reproduce, run_report, store_metrics, store_quality
-from quillstone.plans.pricefacts import stage
+from quillstone.plans.pricefacts import KEY, STAGED, distinct_facts, price_facts, stage
+from quillstone.plans_loaded import ORACLES, QUERIES
+from quillstone.session import shared_dir
 from quillstone.sources.snapshots import SnapshotTable
 
 FACTS = "hospital_slug string, description string, code string, code_type string, alt_codes string, setting string, billing_class string, payer string, plan string, price_type string, amount decimal(14,4), methodology string, modifiers string"
@@ -126,3 +135,80 @@ def test_random_snapshots_follow_a_model(spark, tmp_path):
         seen = snapshot
         now = {r["description"]: int(r["amount"]) for r in history.table.read().where("is_current").collect()}
         assert now == seen
+
+
+SHIFTED = {"lineitem": ("l_orderkey", "l_partkey", "l_suppkey"), "orders": ("o_orderkey", "o_custkey"), "customer": ("c_custkey",), "part": ("p_partkey",), "supplier": ("s_suppkey",)}
+
+
+def in_duckdb(place, sql):
+    con = duckdb.connect()
+    for name in SHIFTED:
+        files = f"{place}/{name}.parquet" + "/*.parquet" * (place / f"{name}.parquet").is_dir()
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{files}'")
+    return sorted(map(str, con.execute(sql).fetchall()))
+
+
+def shifted(table, keys, by):
+    for k in keys:
+        table = table.set_column(table.schema.get_field_index(k), k, pc.add(table[k], by))
+    return table
+
+
+def test_current_rows_come_without_storing_all_repeats(spark, tmp_path):
+    """Three copies of the tables under keys of their own: the facts repeat, and neither the repeats nor wide rows are written on the way."""
+    for name, keys in SHIFTED.items():
+        one = pq.read_table(f"/root/testdata/sf0.001/{name}.parquet")
+        pq.write_table(pa.concat_tables(shifted(one, keys, i * 10**6) for i in range(3)), f"{tmp_path}/{name}.parquet")
+    rows = [str(tuple(r)) for r in QUERIES["scd2_current"](spark, str(tmp_path)).collect()]
+    assert sorted(rows) == in_duckdb(tmp_path, ORACLES["scd2_current"])
+    assert store.place(spark, str(tmp_path), "prices").version() < 0 and not list(Path(shared_dir(spark), "store").glob("passing-*"))
+    once = store.current_table(spark, str(tmp_path)).rows()
+    assert once == store.current_table(spark, "/root/testdata/sf0.001").rows() and store.prices(spark, str(tmp_path)).count() > 2 * once
+
+
+def test_passed_rows_leave_no_shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f: f.stat().st_size for d in blocks.localDirs() for f in Path(d.getPath()).rglob("shuffle_*.data")}
+    before = files()
+    with store.passing(spark) as passed:
+        rows = passed(spark.range(20_000).repartition(3, "id"))
+        names, until = rows.inputFiles(), time.time() + 10
+        while (left := sum(files()[f] for f in files().keys() - before)) and time.time() < until:  # they are removed in the background
+            time.sleep(0.2)
+        assert left == 0 and rows.count() == 20_000
+    assert names and not any(Path(n.removeprefix("file:")).exists() for n in names)
+
+
+def test_a_merge_shuffles_only_what_is_asked_for(spark, capsys):
+    first = initial(stage(facts(spark, OLD)), "s1", "2026-01-01 00:00:00")
+    asked = ("row_id", "key_hash", "amount", "is_current")
+    held = spark.createDataFrame(first.collect(), first.schema)
+    new = stage(facts(spark, NEW))
+    new = spark.createDataFrame(new.collect(), new.schema)
+
+    def exchanges(df):
+        df.explain("formatted")
+        return "".join(x for x in capsys.readouterr().out.split("\n\n") if "Exchange" in x and "Input" in x)
+
+    some = merge(held, new, "s2", T2, asked)
+    assert "description" in exchanges(merge(held, new, "s2", T2)) and "key_hash" in (narrow := exchanges(some)) and "description" not in narrow
+    assert sorted(map(str, some.collect())) == sorted(map(str, merge(held, new, "s2", T2).select(*asked).collect()))
+
+
+def test_distinct_facts_of_odd_tables(spark, tmp_path):
+    """Nulls in every column that may have them, parts alike under several keys, and part keys that come twice, with other columns."""
+    rnd = random.Random(5)
+    odd = lambda *values: rnd.choice(values)
+    tables = {
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_returnflag string, l_linestatus string", [(odd(1, 2, 3, None), odd(1, 2, 3, 4, 5, 6, None), odd(1, 2), odd(1, 2, None), odd(1.5, 2.25, None), odd("R", "A", "N", None), odd("O", "F", None)) for _ in range(600)]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string", [(1, 1, "O", "1-URGENT"), (2, 2, None, "2-HIGH"), (3, 1, "F", None), (None, 1, "F", "1-URGENT")]),
+        "customer": ("c_custkey long, c_mktsegment string", [(1, "A"), (2, None)]),
+        "part": ("p_partkey long, p_name string, p_brand string, p_type string, p_size int", [(1, "n", "b", "SMALL", 1), (1, "m", "b", "PROMO", 1), (2, "n", "b", "SMALL", 1), (3, "n", "b", None, 1), (4, "n", "b", None, 2), (5, None, None, "LARGE", None), (6, "m", "b", "PROMO", 1), (6, "m", "b", "PROMO", 1), (None, "n", "b", "SMALL", 1)]),
+        "supplier": ("s_suppkey long, s_nationkey int", [(1, 7), (2, 8), (None, 7)]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    columns = (*KEY, "amount", "methodology", "modifiers", "alt_codes")
+    shown = lambda df: sorted(str(tuple(r)) for r in df.select(*columns).collect())
+    expected = in_duckdb(tmp_path, f"{STAGED} SELECT {', '.join(columns)} FROM src")
+    assert len(expected) > 50 and shown(distinct_facts(spark, str(tmp_path))) == expected == shown(price_facts(spark, str(tmp_path)).distinct())
